@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, language_id, mixing
 
 QUERIES = {
+    "op3_mixing": mixing.op3_mixing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op10_language_id": language_id.op10_language_id,
 }
 ORACLES = {"op5_exact_dedup": exact_dedup.OP5_SQL}
