@@ -269,9 +269,13 @@ def bpe_digest(df: DataFrame, path: str, pattern: str, text_col: str = "text") -
     return _with(df, text_col, {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, rows)
 
 
-def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of docs by the many-language rank file."""
     import public_tokenizers
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe_digest(docs, path, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe_digest(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenized(spark, table(spark, sf_dir, "documents"), sf_dir)

@@ -32,12 +32,17 @@ def crc_mod(doc_id: str, mod: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(mod))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the checkpoint folder that the cluster shares and read it from there."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the cluster names; one of our own only where it names none."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write df to the checkpoint folder that the cluster shares and read it from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, mixing
+from . import bpe, exact_dedup, language_id, mixing, ngram_join
 
 QUERIES = {
     "op3_mixing": mixing.op3_mixing,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op10_language_id": language_id.op10_language_id,
