@@ -1,7 +1,7 @@
 """Exact deduplication by progressive refinement: length, then hash of a prefix, then hash of the whole text.
 
-Each level keeps only groups that still have two rows or more, so whole texts are hashed for these alone.
-Every level is one aggregation with partial sums before its shuffle, so a group of any size moves as one row
+Each level keeps only groups that still have two rows or more, so whole texts are hashed for these alone. The first two
+levels move ids, lengths and hashes; texts move once, by id, to meet the survivors. Every level is one aggregation with partial sums before its shuffle, so a group of any size moves as one row
 for each task; rows meet their group again by a join whose hot keys the adaptive planner splits.
 """
 
@@ -17,18 +17,22 @@ PREFIX_CHARS = 64
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """One row per group of two or more equal texts: _len, _prefix, _sha, keep_id (largest id) and group_size.
+    """One row per group of two or more equal texts: _sha, keep_id (largest id) and group_size.
 
     A null text is an empty text. Ids may repeat; each row counts. Other columns don't matter, whatever their names.
     An empty table gives no groups.
     """
-    base = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).withColumn("_len", F.octet_length("_text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(F.col(id_col).alias("_id"), text.alias("_text"))
+    base = texts.select("_id", F.octet_length("_text").alias("_len"), F.xxhash64(F.substring("_text", 1, prefix_chars)).alias("_prefix"))
     many = F.count(F.lit(1)) > 1
-    by_length = base.groupBy("_len").agg(many.alias("_many")).where("_many").select("_len")
-    second = base.join(by_length, "_len", "left_semi").withColumn("_prefix", F.xxhash64(F.substring("_text", 1, prefix_chars)))
-    by_prefix = second.groupBy("_len", "_prefix").agg(many.alias("_many")).where("_many").select("_len", "_prefix")
-    third = second.join(by_prefix, ["_len", "_prefix"], "left_semi").withColumn("_sha", F.sha2("_text", 256))
-    return third.groupBy("_len", "_prefix", "_sha").agg(F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    lengths = base.groupBy("_len").agg(many.alias("_many")).where("_many").select("_len")
+    # a key of another name and type keeps the next aggregation from running on the join's own, unsalted partitions
+    second = base.join(lengths, "_len", "left_semi").select("_id", F.col("_len").cast("string").alias("_size"), "_prefix")
+    prefixes = second.groupBy("_size", "_prefix").agg(many.alias("_many")).where("_many").select("_size", "_prefix")
+    third = second.join(prefixes, ["_size", "_prefix"], "left_semi").select(F.col("_id").alias("_survivor"))
+    read = texts.join(third, F.col("_id").eqNullSafe(F.col("_survivor")), "left_semi").select("_id", F.sha2("_text", 256).alias("_sha"))
+    return read.groupBy("_sha").agg(F.max("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
