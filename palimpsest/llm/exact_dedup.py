@@ -61,6 +61,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs.select("doc_id", "text")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def keep_last(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: of equal texts the row with the largest doc_id stays."""
+    return exact_dedup(docs).where("kept").select(*docs.columns)
+
+
 OP5_SQL = """
 SELECT doc_id,
        max(doc_id) OVER (PARTITION BY t) AS keep_id,
