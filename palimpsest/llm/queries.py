@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, mixing, ngram_join
+from . import bpe, exact_dedup, language_id, mixing, ngram_join, preference
 
 QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op9_preference_pairs": preference.op9_preference_pairs,
     "op10_language_id": language_id.op10_language_id,
 }
-ORACLES = {"op5_exact_dedup": exact_dedup.OP5_SQL}
+ORACLES = {
+    "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op9_preference_pairs": preference.OP9_SQL,
+}
