@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, context_tree, exact_dedup, language_id, mixing, ngram_join, preference
+from . import bpe, context_tree, exact_dedup, language_id, mixing, ngram_join, preference, run_length_index
 
 QUERIES = {
     "op1_ctw_scores": context_tree.op1_ctw_scores,
+    "op2_run_length_index": run_length_index.op2_run_length_index,
     "op3_mixing": mixing.op3_mixing,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
