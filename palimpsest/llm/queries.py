@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, context_tree, exact_dedup, hilbert_search, language_id, mixing, ngram_join, preference, run_length_index
+from . import bpe, context_tree, exact_dedup, hilbert_search, language_id, mixing, ngram_join, page_blocks, preference, run_length_index
 
 QUERIES = {
     "op1_ctw_scores": context_tree.op1_ctw_scores,
@@ -11,12 +11,14 @@ QUERIES = {
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op7_page_text": page_blocks.op7_page_text,
     "op8_hilbert_search": hilbert_search.op8_hilbert_search,
     "op9_preference_pairs": preference.op9_preference_pairs,
     "op10_language_id": language_id.op10_language_id,
 }
 ORACLES = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op7_page_text": page_blocks.op7_page_text,
     "op8_hilbert_search": hilbert_search.op8_hilbert_search,
     "op9_preference_pairs": preference.OP9_SQL,
 }
