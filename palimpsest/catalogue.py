@@ -419,3 +419,59 @@ def q_positional_glosses(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_bigram_counts(spark, sf_dir)
+
+
+# ---- editions: a fold over each document's lines; tested on small documents with known trees
+
+
+def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .plans import edition
+
+    config = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), (F.col("doc_id") % 2 == 0).alias("line_by_line"), F.lit(True).alias("drama"))
+    found = marked_lines(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string"))
+    return edition.build(found, config)
+
+
+@query()
+def q_edition_nodes(spark, sf_dir):
+    return _nodes(spark, sf_dir).drop("attrs")
+
+
+@query()
+def q_edition_readings(spark, sf_dir):
+    from .plans import edition
+
+    return edition.readings(_nodes(spark, sf_dir))
+
+
+@query()
+def q_edition_xml(spark, sf_dir):
+    from .plans import edition
+
+    return edition.xml(_nodes(spark, sf_dir))
+
+
+@query()
+def q_edition_markup(spark, sf_dir):
+    from .plans import edition
+
+    return edition.markup(_nodes(spark, sf_dir))
+
+
+@query()
+def q_edition_html(spark, sf_dir):
+    from .plans import edition
+
+    return edition.html(_nodes(spark, sf_dir))
+
+
+@query()
+def q_edition_sidecar(spark, sf_dir):
+    from .plans import edition
+
+    return edition.sidecar(_nodes(spark, sf_dir))
+
+
+@query()
+def q_node_rules(spark, sf_dir):
+    return validation.node_issues(_nodes(spark, sf_dir))

@@ -28,7 +28,9 @@ CUT_DOCS = 4096
 SLICE_BYTES = 2 << 20
 #: Up to so many documents of a prefix n-gram pair with each other at once; of more, each pairs with one of them first.
 SMALL = 8
-_LOW = np.uint64((1 << 48) - 1)
+#: Bits of an n-gram below those of its cut.
+LOW_BITS = 40
+_LOW = np.uint64((1 << LOW_BITS) - 1)
 
 
 def shingles(raw: np.ndarray, places: np.ndarray, n: int = N) -> tuple[np.ndarray, np.ndarray]:
@@ -105,10 +107,10 @@ def _deal(cuts: int, n: int):
                 count = np.bincount(own[mine], minlength=len(ids))
                 has = np.flatnonzero(count)
                 rows["cut"].append(c)
-                rows["docs"].append(ids[has].tobytes())
-                rows["counts"].append(count[has].astype("<u4").tobytes())
-                rows["grams"].append(_pack(h[mine]))
-                rows["shared"].append(_pack(once[once_at == c]))
+                rows["docs"].append(_planes(ids[has], 8))
+                rows["counts"].append(_planes(count[has], 4))
+                rows["grams"].append(_planes(h[mine], LOW_BITS // 8))
+                rows["shared"].append(_planes(once[once_at == c], LOW_BITS // 8))
             yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("cut", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("grams", pa.binary()), ("shared", pa.binary())]))
 
     return run
@@ -121,7 +123,7 @@ def _shared_in_slice(cuts: int, n: int):
     def run(batches):
         for ids, own, h in _each_slice(batches, n):
             shared, _ = _repeats(h)
-            grams = (h[shared] >> (np.uint64(64) - bits) << np.uint64(48)) | (h[shared] & _LOW)
+            grams = (h[shared] >> (np.uint64(64) - bits) << np.uint64(LOW_BITS)) | (h[shared] & _LOW)
             yield pa.RecordBatch.from_struct_array(_lists(np.asarray(ids, np.int64)[own[shared]], grams).to_struct_array().combine_chunks())
 
     return run
@@ -134,31 +136,34 @@ def _lists(owner: np.ndarray, grams: np.ndarray) -> pa.Table:
     return pa.table({"id": pa.array(owner[edge], pa.int64()), "grams": lists})
 
 
-def _pack(h: np.ndarray) -> bytes:
-    """The low 48 bits of each; the cut has the highest bits."""
-    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _planes(values: np.ndarray, size: int) -> bytes:
+    """The low `size` bytes of each, all first bytes first: ids of neighbours and small counts then compress well."""
+    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)[:, :size].T).tobytes() if len(values) else b""
 
 
-def _unpack(packed: list[bytes]) -> np.ndarray:
-    six = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 6)
-    out = np.zeros((len(six), 8), np.uint8)
-    out[:, :6] = six
+def _values(packed: list[bytes], size: int) -> np.ndarray:
+    out = np.zeros((sum(map(len, packed)) // size, 8), np.uint8)
+    at = 0
+    for p in packed:
+        part = np.frombuffer(p, np.uint8).reshape(size, -1).T
+        out[at : at + len(part), :size] = part
+        at += len(part)
     return out.view("<u8").ravel()
 
 
 def _shared_grams(key, group):
     """Of one cut: each document's n-grams that another document has too."""
-    docs = np.frombuffer(b"".join(group.column("docs").to_pylist()), np.int64)
-    counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), "<u4")
-    grams = _unpack(group.column("grams").to_pylist())
+    docs = _values(group.column("docs").to_pylist(), 8).view(np.int64)
+    counts = _values(group.column("counts").to_pylist(), 4).view(np.int64)
+    grams = _values(group.column("grams").to_pylist(), LOW_BITS // 8)
     owner = np.repeat(docs, counts)
     ordered = np.sort(grams)
     twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    known = np.union1d(_unpack(group.column("shared").to_pylist()), twice)
+    known = np.union1d(_values(group.column("shared").to_pylist(), LOW_BITS // 8), twice)
     hit = known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams if len(known) else np.zeros(len(grams), bool)
     owner, grams = owner[hit], grams[hit]
     order = np.argsort(owner, kind="stable")
-    return _lists(owner[order], grams[order] | np.uint64(key[0].as_py() << 48))
+    return _lists(owner[order], grams[order] | np.uint64(key[0].as_py() << LOW_BITS))
 
 
 def _need(size: Column, threshold: int) -> Column:
@@ -166,6 +171,10 @@ def _need(size: Column, threshold: int) -> Column:
     return F.ceil(size * threshold / F.lit(100.0) - 1e-9).cast("long")
 
 
+def _in_fragment(above: int, k: int):
+    return lambda gram: F.shiftright(gram, above) == k
+
+
 def _linked(pairs: DataFrame, parts: DataFrame, threshold: int) -> DataFrame:
     """pairs (a, b) with their Jaccard similarity and whether they link: one overlap for each fragment, summed by pair."""
     left = parts.select(F.col("id").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
@@ -189,18 +198,18 @@ def ngram_links(docs: DataFrame, sets: DataFrame, n: int = N, threshold: int = T
     cuts = min(cuts, 1 << 15)
     dealt = docs.mapInArrow(_deal(cuts, n), "cut int, docs binary, counts binary, grams binary, shared binary")
     lists = "id bigint, grams array<bigint>"
-    shared = cut(dealt.groupBy("cut").applyInArrow(_shared_grams, lists).unionByName(docs.mapInArrow(_shared_in_slice(cuts, n), lists)))
-    enough = shared.groupBy("id").agg(F.sum(F.size("grams")).alias("_shared"))
-    kept = sets.join(enough, "id").where(F.col("_shared") >= _need(F.col("n_shingles"), threshold)).select("id", F.col("n_shingles").alias("n"))
-    grams = shared.join(kept, "id").select("id", "n", F.explode("grams").alias("gram"))
-    frequent = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    by_doc = grams.join(frequent, "gram").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams"))
+    shared = dealt.groupBy("cut").applyInArrow(_shared_grams, lists).unionByName(docs.mapInArrow(_shared_in_slice(cuts, n), lists))
+    by_id = shared.groupBy("id").agg(F.flatten(F.collect_list("grams")).alias("grams"))
+    kept = cut(by_id.join(sets.select("id", F.col("n_shingles").alias("n")), "id").where(F.size("grams") >= _need(F.col("n"), threshold)))
+    grams = kept.select("id", F.explode("grams").alias("gram"))
+    frequent = grams.groupBy("gram").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
+    ranked = grams.join(frequent, "gram").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda x: x["gram"]).alias("grams"))
     # n-grams that no other has come first in the order of rarity; they take places of the prefix
     places = F.col("n") - _need(F.col("n"), threshold) + 1 - (F.col("n") - F.size("grams"))
-    ordered = cut(by_doc.withColumn("places", places.cast("int")).where("places > 0"))
-    index = ordered.select("id", "n", F.explode(F.slice("grams", 1, F.col("places"))).alias("g")).select("id", "n", F.col("g.gram").alias("gram"))
-    exploded = ordered.select("id", "n", F.explode("grams").alias("g")).select("id", "n", F.col("g.gram").alias("gram"))
-    parts = exploded.groupBy("id", "n", F.shiftright("gram", 48 + cuts.bit_length() - FRAGMENTS.bit_length()).alias("fragment")).agg(F.collect_list("gram").alias("grams"))
+    ordered = cut(ranked.join(kept.select("id", "n"), "id").withColumn("places", places.cast("int")).where("places > 0"))
+    index = cut(ordered.select("id", "n", F.explode(F.slice("grams", 1, F.col("places"))).alias("gram")))
+    above = LOW_BITS + cuts.bit_length() - FRAGMENTS.bit_length()
+    parts = ordered.select("id", "n", F.posexplode(F.array(*[F.filter("grams", _in_fragment(above, k)) for k in range(FRAGMENTS)])).alias("fragment", "grams"))
     buckets = index.groupBy("gram").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "n")).alias("least")).where("docs > 1")
     placed = index.join(buckets, "gram")
     fits = lambda x, y: (x * 100 >= y * threshold) & (y * 100 >= x * threshold)

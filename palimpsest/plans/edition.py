@@ -1,0 +1,561 @@
+"""Editions as node tables: one ordered fold over each document's lines, and what is read off the nodes.
+
+A node row is (doc_id, seq, parent_seq, end_seq, depth, tag, attrs, text, tail): a tree in document order, where the
+nodes inside one have seq up to its end_seq. The fold runs once a document; everything after it is relational or works on
+one document's rows.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from html import escape
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import grammar
+
+NODES = "doc_id string, seq int, parent_seq int, end_seq int, depth int, tag string, attrs map<string,string>, text string, tail string"
+INLINE = [
+    ("choice", grammar.CHOICE),
+    ("del", grammar.DELETED),
+    ("supplied", grammar.SUPPLIED),
+    ("unclear", grammar.UNCLEAR),
+    ("pb", grammar.MID_PAGE),
+    ("stage", grammar.STAGE),
+    ("prakrit", grammar.PRAKRIT),
+]
+_inline = [(kind, re.compile(p)) for kind, p in INLINE]
+_rules = {name: re.compile(getattr(grammar, name)) for name in "SECTION LOCATION PAGE PAGE_LINE NOTE HYPHEN_END SPEAKER STAGGERED HEAD BACK VERSE_END CLOSE_LINE".split()}
+_number = re.compile(grammar.VERSE_NUMBER)
+
+
+@dataclass
+class Node:
+    tag: str
+    attrs: dict[str, str] = field(default_factory=dict)
+    text: str = ""
+    tail: str = ""
+    inner: list[Node] = field(default_factory=list)
+
+    def add(self, tag: str, text: str = "", **attrs: str) -> Node:
+        made = Node(tag, {k.rstrip("_"): v for k, v in attrs.items()}, text)
+        self.inner.append(made)
+        return made
+
+    def write(self, text: str) -> None:
+        """Text after whatever the node holds so far."""
+        if self.inner:
+            self.inner[-1].tail += text
+        else:
+            self.text += text
+
+
+def whole_lines(lines: Iterable[str], drama: bool) -> Iterator[tuple[str, bool]]:
+    """Lines with corrections, stage directions and code-switched spans that run over several of them joined by \\n.
+
+    With each comes whether a blank line, or nothing, stands before it. A span that never closes ends with the text.
+    """
+    waiting: list[str] = []
+    close = ""
+    start = held_start = True
+    for line in lines:
+        if waiting:
+            waiting.append(line)
+            if close in line and (close != "≥" or "«" in line):
+                yield "\n".join(waiting), held_start
+                waiting = []
+            continue
+        if not line.strip():
+            start = True
+            continue
+        if line.rfind("≤") > line.rfind("≥"):
+            close = "≥"
+        elif line.rfind("((") > line.rfind("))"):
+            close = "))"
+        elif drama and line.rfind("˹") > line.rfind("˼"):
+            close = "˼"
+        else:
+            yield line, start
+            start = False
+            continue
+        waiting, held_start, start = [line], start, False
+    if waiting:
+        yield "\n".join(waiting), held_start
+
+
+def tokens(content: str) -> Iterator[tuple[str, object]]:
+    """Text and inline marks in order: leftmost first, of those at one place the longest, none inside another."""
+    found = sorted((m.start(), -m.end(), kind, m) for kind, p in _inline for m in p.finditer(content))
+    at = 0
+    for start, end, kind, m in found:
+        if start < at:
+            continue
+        if start > at:
+            yield "text", content[at:start]
+        yield kind, m
+        at = -end
+    if at < len(content):
+        yield "text", content[at:]
+
+
+class EditionFold:
+    """State of one document: where text goes, what is open, and the counters of pages, lines and locations."""
+
+    def __init__(self, line_by_line: bool = False, drama: bool = False, glosses: Iterable[str] = ()):
+        self.line_by_line, self.drama = line_by_line, drama
+        self.glosses = iter(glosses)
+        self.body = Node("body")
+        self.section = self.body
+        self.speech: Node | None = None
+        self.para: Node | None = None
+        self.verse: Node | None = None
+        self.verse_line: Node | None = None
+        self.last_line: Node | None = None
+        self.last_break: tuple[Node, Node] | None = None
+        self.group: list[Node] = []
+        self.head: Node | None = None
+        self.location: str | None = None
+        self.number = 0
+        self.ids: dict[str, int] = {}
+        self.join = False
+
+    # scopes
+
+    def home(self) -> Node:
+        return self.speech or self.section
+
+    def end_verse(self) -> None:
+        """One verse stands alone, several at one place as a group."""
+        self.verse = self.verse_line = None
+        if len(self.group) == 1:
+            self.home().inner.append(self.group[0])
+        elif self.group:
+            attrs = {"type": "group"} | ({"n": self.location} if self.location else {})
+            self.home().inner.append(Node("lg", attrs, inner=self.group))
+        self.group = []
+
+    def end_para(self) -> None:
+        if self.para is not None and not self.para.inner and not self.para.text.strip() and self.para in self.home().inner:
+            self.home().inner.remove(self.para)
+            if made := self.para.attrs.get("id"):  # the next one at this place takes it
+                base = re.sub(r"_\d+$", "", made) if made not in self.ids else made
+                self.ids[base] -= 1
+        self.para = None
+
+    def end_speech(self) -> None:
+        self.end_verse()
+        self.end_para()
+        self.speech = None
+
+    def fresh_id(self) -> dict[str, str]:
+        if self.location is None:
+            return {}
+        base = self.location.strip()
+        page, comma, line = base.partition(",")
+        if comma and page.strip() and line.strip():
+            made = f"p{page.strip().replace('.', '_')}_l{line.strip().replace('.', '_')}"
+        else:
+            made = "v" + re.sub(r"\W+", "_", base)
+        self.ids[made] = n = self.ids.get(made, 0) + 1
+        return {"id": made if n == 1 else f"{made}_{n}", "n": self.location}
+
+    def open_para(self, numbered: bool = True) -> Node:
+        self.end_verse()
+        self.para = Node("p", self.fresh_id() if numbered else {})
+        self.home().inner.append(self.para)
+        self.join = False
+        return self.para
+
+    # lines
+
+    def run(self, lines: Iterable[str]) -> Node:
+        for line, start in whole_lines(lines, self.drama):
+            self.take(line, start)
+        self.end_speech()
+        if self.section is self.body and self.body.inner:
+            self.body.inner = [Node("div", {"n": ""}, inner=self.body.inner)]
+        return self.body
+
+    def take(self, line: str, start: bool) -> None:
+        rule = _rules
+        if m := rule["SECTION"].match(line):
+            self.end_speech()
+            self.location, self.section = None, self.body.add("div", n=m[1])
+        elif m := rule["PAGE_LINE"].match(line):
+            self.page(m[1], int(m[2]) - 1)
+        elif m := rule["PAGE"].match(line):
+            self.page(m[1], 1)
+        elif rule["NOTE"].match(line):
+            self.number += 1
+            (self.verse_line or self.verse or self.para or self.home()).add("milestone", n=re.sub("[<>]", "", line))
+        elif m := rule["LOCATION"].match(line):
+            self.condensed(m[1].strip(), m[2]) if m[2].strip() else self.locate(m[1].strip())
+        elif self.drama and start and (m := rule["STAGGERED"].match(line)):
+            self.speak(m[1][:-2])
+            self.verse_text(m[2] + m[3])
+        elif self.drama and start and (m := rule["SPEAKER"].match(line.split("\n", 1)[0])):
+            rest = "\n".join([m[2].strip(), *line.split("\n")[1:]]).strip()
+            self.speak(m[1])
+            if m := rule["HEAD"].match(line if rest == "_" else rest):
+                self.head = Node("head", text=m[1].strip())
+            elif rest:
+                self.open_para()
+                self.prose(rest)
+        elif m := rule["HEAD"].match(line):
+            self.end_para()
+            self.head = Node("head", text=m[1].strip())
+            if self.line_by_line:
+                self.number += 1
+                self.head.add("lb", n=str(self.number))
+        elif m := rule["BACK"].match(line):
+            if self.last_line is not None:
+                self.last_line.write(" " + m[1])
+        elif "\t" in line:
+            self.verse_text(line)
+        else:
+            if self.para is None:
+                self.open_para(self.location is not None)
+            self.prose(line)
+
+    def locate(self, label: str) -> None:
+        self.end_verse()
+        self.end_para()
+        self.location = label
+        _, comma, line = label.partition(",")
+        if comma and line.strip().isdigit():
+            self.number = int(line)
+        self.open_para()
+
+    def speak(self, who: str) -> None:
+        self.end_speech()
+        self.speech = self.section.add("sp", who=who)
+        self.speech.add("speaker", who)
+
+    def page(self, n: str, number: int) -> None:
+        """A page break takes the place of a line break just before it."""
+        where, attrs = self.verse_line or self.verse or self.para or self.last_line or self.home(), {"n": n}
+        if self.last_break is not None:
+            where, broken = self.last_break
+            if broken.attrs.get("break"):
+                attrs["break"] = "no"
+            where.inner.remove(broken)
+        where.inner.append(Node("pb", attrs))
+        self.last_break, self.number = None, number
+
+    def line_break(self, where: Node, hyphen: bool) -> None:
+        self.number += 1
+        made = where.add("lb", n=str(self.number), **({"break": "no"} if hyphen else {}))
+        self.last_break = (where, made)
+
+    def prose(self, line: str) -> None:
+        where, hyphen = self.para, bool(_rules["HYPHEN_END"].search(line))
+        if self.join and self.last_break is None and not self.line_by_line:
+            where.write(" ")
+        self.inline(where, re.sub(r"-\s*$", "", line) if hyphen else line)
+        if self.line_by_line:
+            self.line_break(where, hyphen)
+        self.join = not hyphen
+
+    def condensed(self, label: str, content: str) -> None:
+        m = _number.match(label)
+        base, part = (m[1], (m[2] or "").lower()) if m else (label, "")
+        if self.verse is None or self.verse.attrs.get("n") != base or not self.group:
+            self.end_verse()
+            self.end_para()
+            self.location = base
+            self.verse = Node("lg", self.fresh_id() | {"n": base})
+            self.group.append(self.verse)
+        self.last_line = self.verse.add("l", **({"n": part} if part else {}))
+        self.put_verse(self.last_line, content)
+        if _rules["CLOSE_LINE"].search(content) is None:
+            self.last_line.add("caesura")
+        self.verse_line = None
+
+    def verse_text(self, line: str) -> None:
+        self.end_para()
+        head, tabs, content = re.match(r"(?s)^([^\t]*)(\t+)(.*)$", line).groups()
+        if self.verse is None:
+            self.verse = Node("lg", self.fresh_id())
+            self.group.append(self.verse)
+            if self.head is not None:
+                self.verse.inner.append(self.head)
+                self.head = None
+        if head.strip():
+            self.verse.add("head", head.strip())
+        if self.verse_line is None:
+            self.verse_line = self.last_line = self.verse.add("l", **({"rend": f"indent({len(tabs)})"} if len(tabs) > 1 else {}))
+        end = next((m.end() for m in _rules["VERSE_END"].finditer(content)), None)
+        own, back = (content, "") if end is None else (content[:end].rstrip(), content[end:].strip())
+        self.put_verse(self.verse_line, own)
+        if end is not None:
+            if back:
+                self.verse.add("back", back)
+            self.verse = self.verse_line = None
+        elif _rules["CLOSE_LINE"].search(content):
+            self.verse_line = None
+        else:
+            self.verse_line.add("caesura")
+
+    def put_verse(self, where: Node, content: str) -> None:
+        self.inline(where, content)
+        if self.line_by_line:
+            self.line_break(where, bool(_rules["HYPHEN_END"].search(content)))
+
+    def inline(self, where: Node, content: str) -> None:
+        """Text and marks of a line; \\n inside them is a line break."""
+        for kind, m in tokens(content):
+            if kind == "text":
+                self.broken(where, m)
+                self.last_break = None
+            elif kind == "choice":
+                made = where.add("choice")
+                self.broken(made.add("sic"), m[1])
+                made.add("corr", m[2])
+            elif kind == "pb":
+                self.page(m[1], int(m[2]) - 1 if m[2] else 1)
+            elif kind == "prakrit":
+                self.switched(where, m)
+            else:
+                self.broken(where.add(kind), m[1])
+
+    def broken(self, where: Node, text: str) -> None:
+        *broken, last = text.split("\n")
+        for part in broken:
+            hyphen = bool(_rules["HYPHEN_END"].search(part))
+            where.write(re.sub(r"-\s*$", "", part) if hyphen else part)
+            if self.line_by_line:
+                self.line_break(where, hyphen)
+            elif not hyphen:
+                where.write(" ")
+        where.write(last)
+
+    def switched(self, where: Node, m: re.Match) -> None:
+        """A code-switched span with its gloss: the companion list's next entry, or what stands in brackets."""
+        made = where.add("seg", type="prakrit")
+        for kind, t in tokens(m[1]):
+            if kind == "stage":
+                made.add("stage", t[1])
+            else:
+                self.broken(made, t if kind == "text" else t[0])
+        gloss = next(self.glosses, None) or m[2]
+        if gloss:
+            made.add("seg", gloss, type="chāyā")
+
+
+def rows_of(doc_id: str, root: Node) -> list[tuple]:
+    """Node rows in document order, without recursion."""
+    out: list[list] = []
+    stack: list[tuple[Node, int, int, bool]] = [(root, -1, 0, False)]
+    open_rows: list[int] = []
+    while stack:
+        node, parent, depth, done = stack.pop()
+        if done:
+            out[open_rows.pop()][3] = len(out) - 1
+            continue
+        seq = len(out)
+        out.append([doc_id, seq, parent if parent >= 0 else None, seq, depth, node.tag, node.attrs, node.text, node.tail])
+        open_rows.append(seq)
+        stack.append((node, parent, depth, True))
+        stack.extend((child, seq, depth + 1, False) for child in reversed(node.inner))
+    return [tuple(r) for r in out]
+
+
+def tree_of(rows: pd.DataFrame) -> Node:
+    """The tree of one document's rows."""
+    made: dict[int, Node] = {}
+    root = Node("body")
+    for r in rows.sort_values("seq").itertuples():
+        node = made[r.seq] = Node(r.tag, dict(r.attrs or {}), r.text or "", r.tail or "")
+        if r.parent_seq is None or r.parent_seq != r.parent_seq:
+            root = node
+        else:
+            made[int(r.parent_seq)].inner.append(node)
+    return root
+
+
+def build(lines: DataFrame, config: DataFrame | None = None, glosses: DataFrame | None = None) -> DataFrame:
+    """Node rows of ordered lines (doc_id, line_no, line).
+
+    config has doc_id, line_by_line and drama; documents without a row are neither. glosses has doc_id, idx and entry. One
+    document's lines meet in one task, which a fold over them needs; the number of documents is what is spread.
+    """
+    texts = lines.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]).alias("lines"))
+    if config is not None:
+        texts = texts.join(config.select("doc_id", "line_by_line", "drama"), "doc_id", "left")
+    else:
+        texts = texts.withColumn("line_by_line", F.lit(False)).withColumn("drama", F.lit(False))
+    if glosses is not None:
+        entries = glosses.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "entry"))), lambda x: x["entry"]).alias("glosses"))
+        texts = texts.join(entries, "doc_id", "left")
+    else:
+        texts = texts.withColumn("glosses", F.array().cast("array<string>"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples():
+                given = list(r.glosses) if r.glosses is not None else []
+                fold = EditionFold(bool(r.line_by_line), bool(r.drama), given)
+                yield pd.DataFrame(rows_of(str(r.doc_id), fold.run(list(r.lines))), columns=[c.split()[0] for c in NODES.split(", ")])
+
+    return texts.na.fill(False, ["line_by_line", "drama"]).mapInPandas(run, NODES)
+
+
+def _each_document(nodes: DataFrame, made: str, render) -> DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"doc_id": [rows["doc_id"].iloc[0]], made: [render(tree_of(rows))]})
+
+    return nodes.groupBy("doc_id").applyInPandas(run, f"doc_id string, {made} string")
+
+
+def to_xml(node: Node) -> str:
+    attrs = "".join(f' {"xml:id" if k == "id" else k}="{escape(v)}"' for k, v in node.attrs.items())
+    inner = escape(node.text, False) + "".join(to_xml(c) + escape(c.tail, False) for c in node.inner)
+    return f"<{node.tag}{attrs}>{inner}</{node.tag}>" if inner else f"<{node.tag}{attrs}/>"
+
+
+def to_reading(node: Node) -> str:
+    """Plain text of what a reader takes: corrections without errors, no deletions; glosses and stage directions in brackets."""
+    if node.tag in ("sic", "del", "speaker"):
+        return ""
+    inner = node.text + "".join(to_reading(c) + c.tail for c in node.inner)
+    if node.tag == "stage":
+        return f"({inner})"
+    if node.tag == "seg" and node.attrs.get("type") == "chāyā":
+        return f" ({inner})"
+    if node.tag in ("div", "p", "l", "head", "back", "sp"):
+        return inner.strip() + "\n" if inner.strip() else ""
+    return inner
+
+
+MARKS = {"stage": ("((", "))"), "sic": ("≤", "≥"), "corr": ("«", "»"), "del": ("≤", "≥"), "supplied": ("«", "»"), "unclear": ("¿", "¿"), "note": ("(", ")")}
+
+
+def to_markup(node: Node, line_by_line: bool = False) -> str:
+    """The lines that the nodes were built from."""
+    out: list[str] = [""]
+
+    def fresh() -> None:
+        if out[-1]:
+            out.append("")
+
+    def walk(n: Node, base: str | None, grouped: bool = False) -> None:
+        tag, attrs = n.tag, n.attrs
+        if tag == "speaker":
+            return
+        opening, closing = MARKS.get(tag, ("", ""))
+        if tag == "div":
+            fresh()
+            if attrs.get("n"):
+                out[-1] = "{" + attrs["n"] + "}"
+            fresh()
+        elif tag == "sp":
+            fresh()
+            out[-1] = ""
+            out.append(f"{attrs.get('who', '')} — ")
+        elif tag == "p" and "n" in attrs:
+            fresh()
+            out[-1] += f"[{attrs['n']}]"
+            fresh()
+        elif tag == "lg":
+            condensed = any(c.tag == "l" and "n" in c.attrs for c in n.inner)
+            base = attrs.get("n") if condensed else None
+            if not condensed and "n" in attrs and not grouped:
+                fresh()
+                out[-1] += f"[{attrs['n']}]"
+                fresh()
+        elif tag == "l":
+            fresh()
+            indent = re.fullmatch(r"indent\((\d+)\)", attrs.get("rend", ""))
+            out[-1] += f"[{base}{attrs.get('n', '')}]\t" if base else "\t" * (int(indent[1]) if indent else 1)
+        elif tag == "pb":
+            fresh()
+            out[-1] = f"<{attrs['n']}>"
+            fresh()
+        elif tag == "lb":
+            if attrs.get("break") == "no":
+                out[-1] += "-"
+            fresh()
+        elif tag == "milestone":
+            fresh()
+            out[-1] = f"<{attrs['n']}>"
+            fresh()
+        elif tag == "caesura":
+            out.append("\t")
+        elif tag == "back":
+            if not out[-1] and len(out) > 1:
+                out.pop()
+            out[-1] += " "
+        elif tag == "seg":
+            opening, closing = ("˹", "˼") if attrs.get("type") == "prakrit" else ("", "")
+            if attrs.get("type") == "chāyā":
+                return
+        out[-1] += opening + n.text
+        for c in n.inner:
+            walk(c, base, attrs.get("type") == "group")
+            out[-1] += c.tail
+        out[-1] += closing
+        if tag == "head":
+            out[-1] += "_"
+        if tag in ("p", "sp", "div", "head", "back") or (tag == "l" and out[-1].strip()):
+            fresh()
+
+    walk(node, None)
+    return "\n".join(x for x in (line.rstrip(" ") for line in out) if x.strip())
+
+
+def to_html(node: Node) -> str:
+    names = {"body": "main", "div": "section", "p": "p", "lg": "ul", "l": "li", "head": "h3", "sp": "div", "back": "p"}
+    name = names.get(node.tag, "span")
+    attrs = f' class="{node.tag}"' + (f' id="{escape(node.attrs["id"])}"' if "id" in node.attrs else "") + (f' data-n="{escape(node.attrs["n"])}"' if "n" in node.attrs else "")
+    inner = escape(node.text, False) + "".join(to_html(c) + escape(c.tail, False) for c in node.inner)
+    if node.tag == "div" and node.attrs.get("n"):
+        inner = f"<h2>{escape(node.attrs['n'])}</h2>" + inner
+    return f"<{name}{attrs}>{inner}</{name}>"
+
+
+def xml(nodes: DataFrame) -> DataFrame:
+    return _each_document(nodes, "xml", to_xml)
+
+
+def readings(nodes: DataFrame) -> DataFrame:
+    return _each_document(nodes, "reading", to_reading)
+
+
+def markup(nodes: DataFrame) -> DataFrame:
+    return _each_document(nodes, "markup", to_markup)
+
+
+def html(nodes: DataFrame) -> DataFrame:
+    return _each_document(nodes, "html", to_html)
+
+
+def corrections(nodes: DataFrame) -> DataFrame:
+    """(doc_id, seq, sic, corr, n): corrections, deletions and additions, each with its place's label, by intervals."""
+    choice = nodes.where("tag = 'choice'").select("doc_id", F.col("seq").alias("c"))
+    part = lambda tag: nodes.where(F.col("tag") == tag).select("doc_id", F.col("parent_seq").alias("c"), F.col("text").alias(tag))
+    both = choice.join(part("sic"), ["doc_id", "c"], "left").join(part("corr"), ["doc_id", "c"], "left").select("doc_id", F.col("c").alias("seq"), "sic", "corr")
+    gone = nodes.where("tag = 'del'").select("doc_id", "seq", F.col("text").alias("sic"), F.lit("").alias("corr"))
+    new = nodes.where("tag = 'supplied'").select("doc_id", "seq", F.lit("").alias("sic"), F.col("text").alias("corr"))
+    places = nodes.where("tag IN ('p', 'lg') AND attrs['n'] IS NOT NULL").select("doc_id", F.col("seq").alias("_from"), "end_seq", F.col("attrs")["n"].alias("n"))
+    found = both.unionByName(gone).unionByName(new)
+    joined = found.join(places, (found.doc_id == places.doc_id) & (found.seq > places._from) & (found.seq <= places.end_seq), "left").drop(places.doc_id)
+    return joined.groupBy("doc_id", "seq", "sic", "corr").agg(F.max_by("n", "_from").alias("n"))
+
+
+def sidecar(nodes: DataFrame) -> DataFrame:
+    """(doc_id, json): sections, corrections and what a document has."""
+    flags = nodes.groupBy("doc_id").agg(
+        F.bool_or(F.col("tag") == "l").alias("has_verses"),
+        F.bool_or(F.col("tag") == "lb").alias("has_line_breaks"),
+        F.bool_or(F.col("tag") == "sp").alias("drama"),
+        F.bool_or(F.col("attrs")["type"] == "chāyā").alias("has_chaya"),
+        F.array_sort(F.collect_list(F.when((F.col("tag") == "div") & (F.col("attrs")["n"] != ""), F.struct("seq", F.col("attrs")["n"].alias("name"))))).alias("toc"),
+    )
+    rows = corrections(nodes).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "sic", "corr", "n"))).alias("corrections"))
+    joined = flags.join(rows, "doc_id", "left")
+    made = F.struct(F.transform("toc", lambda t: t["name"]).alias("toc"), (F.size("toc") > 0).alias("has_toc"), "has_verses", "has_line_breaks", "drama", "has_chaya", F.col("corrections").isNotNull().alias("has_corrections"), F.transform("corrections", lambda c: F.struct(c["sic"].alias("sic"), c["corr"].alias("corr"), c["n"].alias("n"))).alias("corrections"))
+    return joined.select("doc_id", F.to_json(made).alias("json"))
