@@ -417,6 +417,56 @@ def q_positional_glosses(spark, sf_dir):
     return spans.join(glosses, ["doc_id", "n"], "left").select("doc_id", "line_no", "gloss")
 
 
+# ---- headers and romanization
+
+
+def _hk(column: str) -> str:
+    from .functions.translit import HK_IAST
+
+    for a, b in HK_IAST:
+        column = f"replace({column}, '{a}', '{b}')"
+    return column
+
+
+@query(f"SELECT n_nationkey, {_hk('n_name')} AS iast FROM nation")
+def q_romanization(spark, sf_dir):
+    from .functions.translit import hk_to_iast
+
+    return table(spark, sf_dir, "nation").select("n_nationkey", hk_to_iast(F.col("n_name")).alias("iast"))
+
+
+@query("SELECT o_orderkey, strftime(greatest(o_orderdate, o_orderdate + INTERVAL (o_orderkey % 9 - 4) DAY), '%Y-%m-%d') AS iso, year(greatest(o_orderdate, o_orderdate + INTERVAL (o_orderkey % 9 - 4) DAY)) AS year, strftime(greatest(o_orderdate, o_orderdate + INTERVAL (o_orderkey % 9 - 4) DAY), '%B %d, %Y') AS long FROM orders")
+def q_header_dates(spark, sf_dir):
+    from .operators.header import dated
+
+    other = F.expr("date_format(date_add(o_orderdate, cast(o_orderkey % 9 - 4 AS int)), 'yyyy-MM-dd')")
+    found = table(spark, sf_dir, "orders").select("o_orderkey", dated(F.date_format("o_orderdate", "yyyy-MM-dd"), other).alias("d"))
+    return found.select("o_orderkey", "d.iso", F.col("d.year").cast("long").alias("year"), "d.long")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS \"when\", 'clerk ' || o_custkey AS who, o_orderpriority || ': done' AS what, contains(o_orderpriority, 'HIGH') AS ours FROM orders")
+def q_header_changes(spark, sf_dir):
+    from .operators.header import change
+
+    item = F.expr("'(' || date_format(o_orderdate, 'yyyy-MM-dd') || ') clerk ' || o_custkey || ': ' || o_orderpriority || ': done'")
+    return table(spark, sf_dir, "orders").select("o_orderkey", change(item, "HIGH").alias("c")).select("o_orderkey", "c.*")
+
+
+@query("SELECT n_nationkey, '<title>' || n_name || '</title><idno>' || n_regionkey || '</idno><note></note>' AS header FROM nation")
+def q_header_fill(spark, sf_dir):
+    from .operators.header import fill
+
+    template = F.lit("<title>{{TITLE}}</title><idno>{{REGION}}</idno><note>{{NO_VALUE}}</note>")
+    return table(spark, sf_dir, "nation").select("n_nationkey", fill(template, {"TITLE": F.col("n_name"), "REGION": F.col("n_regionkey")}).alias("header"))
+
+
+@query()
+def q_metadata_html(spark, sf_dir):
+    from .functions.markdown import sections_html
+
+    return sections_html(metadata.sections(ordered.lines(documents(spark, sf_dir, HEADED))), ["Title", "Languages"])
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_bigram_counts(spark, sf_dir)
 
