@@ -25,7 +25,7 @@ FRAGMENTS = 8
 #: Documents whose n-grams meet in one cut of the order, about.
 CUT_DOCS = 4096
 #: Bytes of text whose n-grams are sorted together.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Up to so many documents of a prefix n-gram pair with each other at once; of more, each pairs with one of them first.
 SMALL = 8
 #: Bits of an n-gram below those of its cut.
@@ -191,8 +191,8 @@ def ngram_links(docs: DataFrame, sets: DataFrame, n: int = N, threshold: int = T
 
     Links inside a component may be left out, never one that joins two. Documents of a hot n-gram first meet one of
     them, its least id. Those that stay in other components then meet all of the n-gram's documents in other components,
-    but for pairs that can't link: by size, or because their distances from that least id differ by more than a link
-    allows (Jaccard distance is a metric).
+    but for pairs that can't link: by size, by what their orders still hold, or because their distances from that least id
+    differ by more than a link allows (Jaccard distance is a metric). Such a pair meets once, at its first common n-gram.
     """
     cuts = 1 << max(4, (max(1, docs.count()) // CUT_DOCS).bit_length())
     cuts = min(cuts, 1 << 15)
@@ -207,7 +207,7 @@ def ngram_links(docs: DataFrame, sets: DataFrame, n: int = N, threshold: int = T
     # n-grams that no other has come first in the order of rarity; they take places of the prefix
     places = F.col("n") - _need(F.col("n"), threshold) + 1 - (F.col("n") - F.size("grams"))
     ordered = cut(ranked.join(kept.select("id", "n"), "id").withColumn("places", places.cast("int")).where("places > 0"))
-    index = cut(ordered.select("id", "n", F.explode(F.slice("grams", 1, F.col("places"))).alias("gram")))
+    index = cut(ordered.select("id", "n", F.posexplode(F.slice("grams", 1, F.col("places"))).alias("at", "gram")))
     above = LOW_BITS + cuts.bit_length() - FRAGMENTS.bit_length()
     parts = ordered.select("id", "n", F.posexplode(F.array(*[F.filter("grams", _in_fragment(above, k)) for k in range(FRAGMENTS)])).alias("fragment", "grams"))
     buckets = index.groupBy("gram").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "n")).alias("least")).where("docs > 1")
@@ -226,13 +226,17 @@ def ngram_links(docs: DataFrame, sets: DataFrame, n: int = N, threshold: int = T
     apart = labelled.groupBy("gram").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high").select("gram")
     far = first.select(F.col("a").alias("_least"), F.col("b").alias("id"), (1 - F.col("similarity")).alias("distance"))
     rest = labelled.join(apart, "gram", "left_semi").withColumn("_least", F.col("least.id")).join(far, ["_least", "id"], "left")
-    rest = cut(rest.join(found.select(F.col("id").alias("_least"), F.col("component").alias("_first")), "_least", "left").select("gram", "id", "n", "component", "distance", (F.coalesce("_first", "_least") != F.col("component")).alias("other")).where("id <> _least"))
+    rest = cut(rest.join(found.select(F.col("id").alias("_least"), F.col("component").alias("_first")), "_least", "left").select("gram", "at", "id", "n", "component", "distance", (F.coalesce("_first", "_least") != F.col("component")).alias("other")).where("id <> _least"))
+    # a pair meets at the first n-gram of both prefixes; what can follow there bounds the overlap
+    before = ordered.select("id", "grams", (F.col("n") - F.size("grams")).alias("_alone"))
+    rest = rest.join(before, "id").withColumn("before", F.slice("grams", 1, F.col("at"))).withColumn("after", F.col("n") - F.col("_alone") - F.col("at")).drop("grams", "_alone")
     x, y = rest.where("other").alias("x"), rest.alias("y")
     allowed = 1 - threshold / 100 + 1e-9
     # a document whose size rules out a link with the least id has no distance from it
     near = F.coalesce(F.abs(F.col("x.distance") - F.col("y.distance")) <= allowed, F.lit(True))
     once = ~F.col("y.other") | (F.col("x.id") < F.col("y.id"))
-    meet = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & once & fits(F.col("x.n"), F.col("y.n")) & near
+    reachable = F.least("x.after", "y.after") * (100 + threshold) >= (F.col("x.n") + F.col("y.n")) * threshold
+    meet = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & once & fits(F.col("x.n"), F.col("y.n")) & near & reachable & ~F.arrays_overlap("x.before", "y.before")
     more = x.join(y, meet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     late = cut(_linked(more, parts, threshold).where("linked").select("a", "b"))
     if late.isEmpty():
