@@ -22,8 +22,8 @@ from .components import components
 N, THRESHOLD = 5, 80
 #: Fragments of the order in which overlaps are counted separately; a power of 2.
 FRAGMENTS = 8
-#: Documents whose n-grams meet in one cut of the order, about.
-CUT_DOCS = 4096
+#: Documents whose n-grams meet in one cut of the order, about, and bits of the number of cuts, at least and at most.
+CUT_DOCS, LEAST_CUT_BITS, MOST_CUT_BITS = 4096, 6, 15
 #: Bytes of text whose n-grams are sorted together.
 SLICE_BYTES = 1 << 20
 #: Up to so many documents of a prefix n-gram pair with each other at once; of more, each pairs with one of them first.
@@ -194,8 +194,8 @@ def ngram_links(docs: DataFrame, sets: DataFrame, n: int = N, threshold: int = T
     but for pairs that can't link: by size, by what their orders still hold, or because their distances from that least id
     differ by more than a link allows (Jaccard distance is a metric). Such a pair meets once, at its first common n-gram.
     """
-    cuts = 1 << max(4, (max(1, docs.count()) // CUT_DOCS).bit_length())
-    cuts = min(cuts, 1 << 15)
+    # a document has a row for each cut that holds shared n-grams of it; with few cuts at first, rows would outgrow documents
+    cuts = 1 << min(MOST_CUT_BITS, max(LEAST_CUT_BITS, (docs.count() // CUT_DOCS).bit_length()))
     dealt = docs.mapInArrow(_deal(cuts, n), "cut int, docs binary, counts binary, grams binary, shared binary")
     lists = "id bigint, grams array<bigint>"
     shared = dealt.groupBy("cut").applyInArrow(_shared_grams, lists).unionByName(docs.mapInArrow(_shared_in_slice(cuts, n), lists))
