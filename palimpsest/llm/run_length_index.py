@@ -71,7 +71,7 @@ def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The suffix array of pieces that lie one after the other, each with a closing place that is less than any byte.
 
     text has up to 2**20 bytes; ends holds the closing places. Ranks double the length that they order, by sorting ranks
-    and positions packed in one integer.
+    and positions packed in one integer; suffixes that stand alone already are left out.
     """
     n = len(text)
     bits = np.uint64(20)
@@ -84,22 +84,27 @@ def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     for k in range(4):
         ahead = np.minimum(np.arange(n) + k, close)
         key = key << np.uint64(9) | symbol[ahead]
-    known = 4
     closing = np.zeros(n, bool)
     closing[ends] = True
+    order, slots = np.empty(n, np.int64), np.arange(n)
+    rank = np.empty(n, np.uint64)
+    known = 4
     while True:
         packed = np.sort(key << bits | index)
-        order = (packed & np.uint64((1 << 20) - 1)).astype(np.int64)
+        found = (packed & np.uint64((1 << 20) - 1)).astype(np.int64)
         values = packed >> bits
-        new = np.ones(n, bool)
-        new[1:] = values[1:] != values[:-1]
-        new |= closing[order]  # closing places differ from each other
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(new).astype(np.uint64) - np.uint64(1)
-        if new.all():
+        new = np.ones(len(found), bool)
+        new[1:] = (values[1:] != values[:-1]) | closing[found[1:]]  # closing places differ from each other
+        order[slots] = found
+        # a suffix's rank is the first slot of those that it can't be told from yet
+        rank[found] = slots[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))].astype(np.uint64)
+        alone = new.copy()
+        alone[:-1] &= new[1:]
+        if alone.all():
             return order
-        ahead = np.minimum(np.arange(n) + known, close)
-        key = rank << bits | rank[ahead]
+        slots, waiting = slots[~alone], found[~alone]
+        index = waiting.astype(np.uint64)
+        key = rank[waiting] << bits | rank[np.minimum(waiting + known, close[waiting])]
         known *= 2
 
 
@@ -300,7 +305,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = max(1, -(-(size or 0) // BLOCK_BYTES))
     known = texts.withColumn("uid", F.xxhash64("id", "text"))
     # rows that agree in id and text have one uid and the same spans; each counts as a text
-    found = known.select("uid", "text").mapInArrow(_find(length, gram), "uid bigint, key bigint, low bigint, high bigint, alone boolean")
+    found = cut(known.select("uid", "text").mapInArrow(_find(length, gram), "uid bigint, key bigint, low bigint, high bigint, alone boolean"))
     window = F.col("high") - F.col("low") + length
     groups = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(window).alias("bytes"), F.max("alone").alias("alone")).where("n > 1 OR alone").select("key", "bytes")
     wanted = cut(found.join(groups, "key").withColumn("block", F.pmod("uid", F.lit(blocks))).select("block", "uid", "key", "low", "high", "bytes"))
