@@ -159,7 +159,8 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     order = F.xxhash64("_id")
     share = Window.partitionBy("_lang", F.pmod(order, F.lit(16))).orderBy(order, "_id")
     chosen = keys.withColumn("_n", F.row_number().over(share)).where(F.col("_n") <= -(-per_language // 16)).select("_id")
-    return docs.join(chosen.distinct(), F.col(id_col) == F.col("_id"), "left_semi").select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    # at most per_language + 15 ids a label are sent to all tasks, so that texts don't move
+    return docs.join(F.broadcast(chosen.distinct()), F.col(id_col) == F.col("_id"), "left_semi").select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
 
 def count_words(sample: DataFrame) -> dict[str, Counter]:
