@@ -1,3 +1,6 @@
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from palimpsest.functions import text
@@ -53,3 +56,25 @@ def test_readers(spark, tmp_path):
     assert {tuple(r) for r in texts.ngram_table(texts.ngram_json(table)).collect()} == {(1, "a", 3), (2, "ab", 2)}
     entries = texts.companions(spark.createDataFrame([("d", "x\ny\n\n \n\nz")], "doc_id string, text string"))
     assert [tuple(r) for r in entries.orderBy("idx").collect()] == [("d", 0, "x\ny"), ("d", 1, "z")]
+
+
+def joined_by_loops(content):
+    """The reference's rules, each repeated until it finds nothing."""
+    rules = [(r"-\n(<\d+>)\n\t", r"\1"), (r"([^\n/\|\]\)>}-])\n\t", r"\1"), (r"-\n\t", ""), (r"-\n(<\d+>)\n([^\n])", r"\1\2"), (r"(\n[^\t\n-]+)\n([^\n\t])", r"\1 \2"), (r"-\n", ""), (r"([^\n ])(<\d+> )", r"\1 \2")]
+    for pattern, replacement in rules:
+        while re.search(pattern, content):
+            content = re.sub(pattern, replacement, content)
+    return content
+
+
+def test_hyphens_to_the_fix_point(spark):
+    rng = random.Random(5)
+    parts = ["-\n", "\n\t", "<7>", "<12> ", "\n", "\t", "-", " ", "]", "a", "b c", "🙂", "x\ny\nz", "-\n<3>\n", "-\n<3>\n\t"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(4000)]
+    texts += ["\n".join(f"line {i}" for i in range(n)) for n in (1, 2, 3, 5, 8, 400)]
+    texts += ["-\n" * k + "<1>" + "\n\t" * m + "x" for k in (1, 3, 70) for m in (1, 3, 70)] + ["-" * k + "\n" * m for k in (1, 90) for m in (2, 90)] + ["a" + "<1>" * 80 + " ", "-\n" * 50 + "-\n\t" + "\t" * 60 + "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, v string").repartition(4)
+    got = {r.i: r.t for r in df.select("i", text.join_hyphens(F.col("v")).alias("t")).collect()}
+    wrong = [(t, got[i], joined_by_loops(t)) for i, t in enumerate(texts) if got[i] != joined_by_loops(t)]
+    assert not wrong, (len(wrong), wrong[0])
+    assert one(spark, None, text.join_hyphens) is None
