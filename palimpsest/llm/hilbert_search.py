@@ -1,6 +1,7 @@
 """Approximate nearest neighbours by several shifted Hilbert orderings of projected vectors.
 
 Each ordering projects vectors at random to a few dimensions, shifts the grid, and orders cells along a Hilbert curve.
+The grid's lines follow the quantiles of each dimension, so that a dense cluster is cut as finely as its share of vectors.
 An ordering is cut into ranges of about equally many vectors. A query meets its own range and the neighbouring ones in
 each ordering; the nearest of all ranges merge, and exact distances rank them.
 """
@@ -19,12 +20,13 @@ from pyspark.sql.window import Window
 from .common import mix, table
 
 ORDERINGS, DIMENSIONS, BITS, SEED = 16, 8, 5, 7
-#: Bits below a cell's place on the curve: a hash of the id, so that a cell with very many vectors spreads over ranges.
+#: Bits below a cell's place on the curve: a hash of ordering and id, so that a cell with very many vectors spreads over
+#: ranges, in each ordering otherwise.
 TIE_BITS = 22
 #: A range holds this share of all vectors, or RANGE_ROWS if that is less; neighbours on each side add up to the share.
 SHARE, RANGE_ROWS, LEAST_ROWS = 1 / 40, 4096, 64
-#: Vectors that the grid's bounds are fitted on, at most.
-FIT_ROWS = 4096
+#: Vectors that the grid is fitted on, at most, and the quantiles that are kept of a dimension.
+FIT_ROWS, KNOTS = 4096, 257
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -52,11 +54,10 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
 
 @dataclass
 class Grid:
-    """Projections, bounds and shifts of all orderings; of a size that the vectors' dimension sets."""
+    """Projections, quantiles and shifts of all orderings; of a size that the vectors' dimension sets."""
 
     projection: np.ndarray
-    low: np.ndarray
-    width: np.ndarray
+    knots: np.ndarray
     shift: np.ndarray
 
     @classmethod
@@ -66,16 +67,17 @@ class Grid:
         m = min(dimensions, size)
         projection = np.stack([np.linalg.qr(rng.normal(size=(size, m)))[0] for _ in range(orderings)])
         at = np.einsum("nd,cdm->cnm", sample, projection)
-        low, high = np.quantile(at, 0.005, axis=1), np.quantile(at, 0.995, axis=1)
-        return cls(projection, low, np.maximum(high - low, 1e-12), rng.random((orderings, m)))
+        return cls(projection, np.quantile(at, np.linspace(0, 1, KNOTS), axis=1), rng.random((orderings, m)))
 
     def codes(self, ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         """One row an ordering: the curve place of each vector, then its id's hash."""
-        tie = mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - TIE_BITS)
+        levels = np.linspace(0, 1, KNOTS)
         out = []
-        for projection, low, width, shift in zip(self.projection, self.low, self.width, self.shift, strict=True):
-            place = np.clip(((vectors @ projection - low) / width + shift) / 2, 0, 1 - 1e-9)
-            cells = (place * (1 << BITS)).astype(np.uint64)
+        for c, (projection, shift) in enumerate(zip(self.projection, self.shift, strict=True)):
+            at = vectors @ projection
+            level = np.stack([np.interp(at[:, j], self.knots[:, c, j], levels) for j in range(at.shape[1])], 1)
+            cells = (np.clip((level + shift) / 2, 0, 1 - 1e-9) * (1 << BITS)).astype(np.uint64)
+            tie = mix(mix(ids.astype(np.int64).view(np.uint64)) + np.uint64(c)) >> np.uint64(64 - TIE_BITS)
             out.append((hilbert_index(cells, BITS) << np.uint64(TIE_BITS) | tie).view(np.int64))
         return np.stack(out)
 

@@ -55,3 +55,16 @@ def test_few_and_none(spark):
 def test_recall(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
     assert run(spark, rows, 64) >= 0.9
+
+
+def test_recall_in_a_tight_cluster(spark):
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(6000, 64))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    centre = points[0].copy()
+    for noise in (1e-4, 1e-2):
+        # a third of the rows, and all queries, lie in the cluster
+        inside = np.arange(6000) % 100 < 34
+        near = rng.normal(size=(int(inside.sum()), 64))
+        points[inside] = centre + noise * near / np.linalg.norm(near, axis=1)[:, None]
+        assert run(spark, [(i, v.tolist()) for i, v in enumerate(points)], 64) >= 0.9
