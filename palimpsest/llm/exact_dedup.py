@@ -7,8 +7,10 @@ for each task; rows meet their group again by a join whose hot keys the adaptive
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
+from pyspark.sql.window import Window
 
 from .common import table
 
@@ -38,22 +40,26 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of docs, with keep_id, group_size and kept added (columns of these names are replaced).
 
-    Of equal texts the row with the largest id stays. Null texts equal empty ones. A null id never wins against others
-    and is kept only where its text is alone. Rows that share both id and text are copies too: all are marked as kept if
+    Of equal texts the row with the largest id stays. Null texts equal empty ones. A null id never wins against others;
+    where all ids of a group are null, one of its rows is kept. Rows that share both id and text are copies too: all are marked as kept if
     their id is the largest, so ids should be unique where one row is to stay.
     """
     docs = docs.drop("keep_id", "group_size", "kept")
     groups = exact_groups(docs, id_col, text_col).select(F.col("_sha").alias("_group_sha"), F.col("keep_id").alias("_keep"), F.col("group_size").alias("_size"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    joined = docs.withColumn("_own_sha", F.sha2(text, 256)).join(groups, F.col("_own_sha") == F.col("_group_sha"), "left")
+    own = docs.withColumn("_own_sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     size = F.coalesce(F.col("_size"), F.lit(1).cast("long"))
-    return joined.select(
-        *docs.columns,
-        F.when(size > 1, F.col("_keep")).otherwise(F.col(id_col)).alias("keep_id"),
-        size.alias("group_size"),
-        F.coalesce((size == 1) | (F.col(id_col) == F.col("_keep")), F.lit(False)).alias("kept"),
-        F.col("_own_sha").alias("text_sha256"),
-    )
+
+    def marked(rows: DataFrame, kept: Column) -> DataFrame:
+        keep = F.when(size > 1, F.col("_keep")).otherwise(F.col(id_col))
+        return rows.select(*docs.columns, keep.alias("keep_id"), size.alias("group_size"), F.coalesce((size == 1) | kept, F.lit(False)).alias("kept"), F.col("_own_sha").alias("text_sha256"))
+
+    meets = F.col("_own_sha") == F.col("_group_sha")
+    named = own.where(F.col(id_col).isNotNull()).join(groups, meets, "left")
+    # few rows have no id; of those of one text, the first by the other columns stands for a group without any id
+    others = [f.name for f in docs.schema if isinstance(f.dataType, AtomicType) and f.name not in (id_col, text_col)]
+    first = F.row_number().over(Window.partitionBy("_own_sha").orderBy("_own_sha", *others))
+    nameless = own.where(F.col(id_col).isNull()).withColumn("_n", first).join(groups, meets, "left")
+    return marked(named, F.col(id_col) == F.col("_keep")).unionByName(marked(nameless, F.col("_keep").isNull() & (F.col("_n") == 1)))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

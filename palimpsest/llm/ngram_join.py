@@ -264,6 +264,6 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the least id of each group of near copies stays, and every document that links with nothing."""
+    """Pipeline stage: the least id of each group of near copies stays, and every document that links with nothing, as do those without an id."""
     kept = ngram_join(docs.select("doc_id", "text")).where("component_id = id").select(F.col("id").alias("doc_id"))
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -34,3 +34,16 @@ def test_stages(spark, tmp_path):
     assert kept[3] <= kept[2] and kept[3] == kept[4]
     got = corpus_pipeline.run(spark, folder)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and {r.doc_id for r in got.collect()} == kept[4]
+
+
+def test_rows_without_ids_stay(spark):
+    from palimpsest.llm import exact_dedup, ngram_join
+
+    rows = [(None, "one two three four five six", "a"), (None, "one two three four five six", "b"), (None, "x y", "a"), (1, "x y", "a"), (None, "alone", "a"), (None, None, "a"), (None, "", "a"), (2, "other words", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    found = exact_dedup.keep_last(spark, docs, "")
+    assert found.columns == docs.columns
+    kept = [tuple(r) for r in found.collect()]
+    assert sorted((i or 0, t or "", s) for i, t, s in kept) == [(0, "", "a"), (0, "alone", "a"), (0, "one two three four five six", "a"), (1, "x y", "a"), (2, "other words", "a")]
+    near = ngram_join.keep_one_of_each(spark, found, "")
+    assert sorted((r.doc_id or 0, r.text or "") for r in near.collect()) == sorted((i or 0, t or "") for i, t, _ in kept)
