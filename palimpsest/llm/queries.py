@@ -18,7 +18,5 @@ QUERIES = {
 }
 ORACLES = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
-    "op7_page_text": page_blocks.op7_page_text,
-    "op8_hilbert_search": hilbert_search.op8_hilbert_search,
     "op9_preference_pairs": preference.OP9_SQL,
 }

@@ -47,3 +47,9 @@ def test_rows_without_ids_stay(spark):
     assert sorted((i or 0, t or "", s) for i, t, s in kept) == [(0, "", "a"), (0, "alone", "a"), (0, "one two three four five six", "a"), (1, "x y", "a"), (2, "other words", "a")]
     near = ngram_join.keep_one_of_each(spark, found, "")
     assert sorted((r.doc_id or 0, r.text or "") for r in near.collect()) == sorted((i or 0, t or "") for i, t, _ in kept)
+
+
+def test_oracles_are_sql():
+    import __spark_entry__ as entry
+
+    assert all(isinstance(sql, str) for sql in entry.oracle_sql().values())
