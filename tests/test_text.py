@@ -78,3 +78,8 @@ def test_hyphens_to_the_fix_point(spark):
     wrong = [(t, got[i], joined_by_loops(t)) for i, t in enumerate(texts) if got[i] != joined_by_loops(t)]
     assert not wrong, (len(wrong), wrong[0])
     assert one(spark, None, text.join_hyphens) is None
+
+
+def test_brackets_nested_deeper_than_64(spark):
+    assert one(spark, "a" + "(" * 150 + "x" + ")" * 150 + "b", text.remove_removables) == "ab"
+    assert one(spark, "a" + "{" * 150 + "x" + "}" * 150 + "b", text.plain_content) == "ab"
