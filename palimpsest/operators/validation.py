@@ -56,7 +56,8 @@ CLOSED_VALUES = {("l", "part"): ["F", "I"], ("pb", "type"): ["folio", "hyphen"],
 
 
 def node_issues(nodes: DataFrame) -> DataFrame:
-    """Structure rules over a node table: forbidden ancestors, empty verse groups, closed attribute values, subtype without type.
+    """Structure rules over a node table: forbidden ancestors, verse groups without l, lg or gap, closed attribute values, subtype without type,
+    when beside other dates, target beside cRef.
 
     A descendant is told by the nodes' intervals (seq, end_seq) within its document, in one join on the document.
     """
@@ -64,13 +65,17 @@ def node_issues(nodes: DataFrame) -> DataFrame:
     listed = nodes.select(F.explode(rules).alias("r"), "doc_id", "seq", "tag").where("tag = r.tag").select("doc_id", "seq", "r.rule", "r.above")
     above = nodes.where(F.col("tag").isin("p", "l")).select(F.col("doc_id").alias("_doc"), F.col("seq").alias("_seq"), "end_seq", F.col("tag").alias("_tag"))
     inside = listed.join(above, (F.col("doc_id") == F.col("_doc")) & (F.col("above") == F.col("_tag")) & (F.col("seq") > F.col("_seq")) & (F.col("seq") <= F.col("end_seq")), "left_semi").select("doc_id", "seq", "rule")
-    empty = nodes.where((F.col("tag") == "lg") & (F.col("end_seq") == F.col("seq"))).select("doc_id", "seq", F.lit("lg-empty").alias("rule"))
+    filling = nodes.where(F.col("tag").isin("lg", "l", "gap")).select(F.col("doc_id").alias("_doc"), F.col("seq").alias("_seq"))
+    filled = (F.col("doc_id") == F.col("_doc")) & (F.col("_seq") > F.col("seq")) & (F.col("_seq") <= F.col("end_seq"))
+    empty = nodes.where("tag = 'lg'").join(filling, filled, "left_anti").select("doc_id", "seq", F.lit("lg-empty").alias("rule"))
     closed = reduce(lambda x, y: x | y, [(F.col("tag") == t) & F.col("attrs")[a].isNotNull() & ~F.col("attrs")[a].isin(v) for (t, a), v in CLOSED_VALUES.items()])
     values = nodes.where(closed).select("doc_id", "seq", F.lit("closed-value").alias("rule"))
     subtype = nodes.where(F.col("attrs")["subtype"].isNotNull() & F.col("attrs")["type"].isNull()).select("doc_id", "seq", F.lit("subtype-needs-type").alias("rule"))
     dated = nodes.where(F.col("attrs")["when"].isNotNull() & (F.col("attrs")["from"].isNotNull() | F.col("attrs")["to"].isNotNull() | F.col("attrs")["notBefore"].isNotNull() | F.col("attrs")["notAfter"].isNotNull()))
     dates = dated.select("doc_id", "seq", F.lit("when-alone").alias("rule"))
-    return reduce(DataFrame.unionByName, [inside, empty, values, subtype, dates])
+    both = F.col("tag").isin("ptr", "ref") & F.col("attrs")["target"].isNotNull() & F.col("attrs")["cRef"].isNotNull()
+    targets = nodes.where(both).select("doc_id", "seq", F.lit("target-or-cref").alias("rule"))
+    return reduce(DataFrame.unionByName, [inside, empty, values, subtype, dates, targets])
 
 
 def link_lint(first: Column) -> Column:

@@ -64,3 +64,9 @@ def test_stream(spark, tmp_path):
     stream.count_stream(read(), folder, str(tmp_path / "c")).awaitTermination()
     assert {tuple(r) for r in stream.current(spark, folder).collect()} == {("ab", 3), ("ba", 2)}
     assert stream.current(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_verse_groups_without_lines_and_double_targets(spark):
+    text = "<body><lg><head>x</head></lg><lg><lg><gap/></lg></lg><ref target='a' cRef='b'/><ptr target='a' cRef='b'/><ref target='a'/><ptr cRef='b'/></body>"
+    issues = validation.node_issues(xml.nodes(spark.createDataFrame([("d", text)], "doc_id string, xml string")))
+    assert sorted(r.rule for r in issues.collect()) == ["lg-empty", "target-or-cref", "target-or-cref"]
