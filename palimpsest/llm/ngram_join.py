@@ -4,6 +4,11 @@ The global order of n-grams is cut into fragments. A first pass over the cuts fi
 documents that share too few for any link drop out. The rest order their n-grams by rarity, and those in their prefixes
 bring candidates together. Candidates' overlaps are counted in each fragment separately and summed by pair.
 
+Many documents of one prefix n-gram don't pair with each other: all meet one of them, the one with the least share of
+n-grams of its own. Where that leaves several components, documents outside the largest one meet all others of their
+cluster in blocks of bounded size; there, too, overlaps are counted fragment by fragment and added up, in a matrix that
+doesn't leave its task: what leaves it is one link a document at most.
+
 Two documents link when 100 * intersection >= threshold * union.
 """
 
@@ -16,20 +21,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bytes_of, cut, mix, plain_strings, slices, table, words_of
+from .common import bytes_of, cut, join_groups, marked, marks, mix, numbered, plain_strings, slices, table, words_of
 from .components import components
 
 N, THRESHOLD = 5, 80
 #: Fragments of the order in which overlaps are counted separately; a power of 2.
 FRAGMENTS = 8
-#: Documents whose n-grams meet in one cut of the order, about, and bits of the number of cuts, at least and at most.
-CUT_DOCS, LEAST_CUT_BITS, MOST_CUT_BITS = 4096, 6, 15
+#: Bytes of text whose n-grams meet in one cut of the order, about, and bits of the number of cuts, at least and at most.
+#: What leaves the cuts is one row for each n-gram that a document shares, whatever the number of cuts.
+CUT_BYTES, LEAST_CUT_BITS, MOST_CUT_BITS = 8 << 20, 3, 15
 #: Bytes of text whose n-grams are sorted together.
 SLICE_BYTES = 1 << 20
 #: Up to so many documents of a prefix n-gram pair with each other at once; of more, each pairs with one of them first.
 SMALL = 8
+#: Documents and n-grams in a block of a cluster, about, and n-grams of a fragment there.
+BLOCK_DOCS, BLOCK_GRAMS, BLOCK_FRAGMENT = 1024, 1 << 21, 2048
 #: Bits of an n-gram below those of its cut.
-LOW_BITS = 40
+LOW_BITS = 48
 _LOW = np.uint64((1 << LOW_BITS) - 1)
 
 
@@ -124,18 +132,11 @@ def _shared_in_slice(cuts: int, n: int):
         for ids, own, h in _each_slice(batches, n):
             shared, _ = _repeats(h)
             grams = (h[shared] >> (np.uint64(64) - bits) << np.uint64(LOW_BITS)) | (h[shared] & _LOW)
-            yield pa.RecordBatch.from_struct_array(_lists(np.asarray(ids, np.int64)[own[shared]], grams).to_struct_array().combine_chunks())
+            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(ids, np.int64)[own[shared]]), pa.array(grams.view(np.int64))], ["id", "gram"])
 
     return run
 
 
-def _lists(owner: np.ndarray, grams: np.ndarray) -> pa.Table:
-    """One row an owner, whose n-grams must be neighbours."""
-    edge = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([edge, [len(owner)]]).astype(np.int32)), pa.array(grams.view(np.int64)))
-    return pa.table({"id": pa.array(owner[edge], pa.int64()), "grams": lists})
-
-
 def _planes(values: np.ndarray, size: int) -> bytes:
     """The low `size` bytes of each, all first bytes first: ids of neighbours and small counts then compress well."""
     return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)[:, :size].T).tobytes() if len(values) else b""
@@ -161,9 +162,8 @@ def _shared_grams(key, group):
     twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     known = np.union1d(_values(group.column("shared").to_pylist(), LOW_BITS // 8), twice)
     hit = known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams if len(known) else np.zeros(len(grams), bool)
-    owner, grams = owner[hit], grams[hit]
-    order = np.argsort(owner, kind="stable")
-    return _lists(owner[order], grams[order] | np.uint64(key[0].as_py() << LOW_BITS))
+    grams = grams[hit] | np.uint64(key[0].as_py() << LOW_BITS)
+    return pa.table({"id": pa.array(owner[hit], pa.int64()), "gram": pa.array(grams.view(np.int64), pa.int64())})
 
 
 def _need(size: Column, threshold: int) -> Column:
@@ -176,87 +176,161 @@ def _in_fragment(above: int, k: int):
 
 
 def _linked(pairs: DataFrame, parts: DataFrame, threshold: int) -> DataFrame:
-    """pairs (a, b) with their Jaccard similarity and whether they link: one overlap for each fragment, summed by pair."""
+    """pairs (a, b) and whether they link: one overlap for each fragment, summed by pair."""
     left = parts.select(F.col("id").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
     right = parts.select(F.col("id").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("grams").alias("grams_b"))
     counted = pairs.join(left, "a").join(right, ["b", "fragment"])
     partial = counted.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap"))
     union = F.col("n_a") + F.col("n_b") - F.col("overlap")
-    return total.select("a", "b", (F.col("overlap") / union).alias("similarity"), (F.col("overlap") * 100 >= union * threshold).alias("linked"))
+    return total.select("a", "b", (F.col("overlap") * 100 >= union * threshold).alias("linked"))
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams of some rows, and the row of each."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    sizes = np.asarray(lists.value_lengths(), np.int64)
+    return np.asarray(lists.flatten(), np.int64), np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _block_links(threshold: int):
+    """Of one pair of blocks: a link from each document that has one to the least id that it reaches in here."""
+
+    def run(key, group):
+        few = np.asarray(group.column("few"), bool)
+        sides = [group.filter(pa.array(few)), group.filter(pa.array(~few))]
+        ids, sizes, component = ([np.asarray(side.column(c), np.int64) for side in sides] for c in ("id", "n", "component"))
+        grams, owner = zip(*(_flat(side.column("grams")) for side in sides), strict=True)
+        both = np.intersect1d(*grams)
+        overlap = np.zeros((len(ids[0]), len(ids[1])), np.float32)
+        for at in range(0, len(both), BLOCK_FRAGMENT):  # partial overlaps, summed by pair
+            fragment = both[at : at + BLOCK_FRAGMENT]
+            held = []
+            for g, o, i in zip(grams, owner, ids, strict=True):
+                place = np.minimum(np.searchsorted(fragment, g), len(fragment) - 1)
+                hit = fragment[place] == g
+                m = np.zeros((len(i), len(fragment)), np.float32)
+                m[o[hit], place[hit]] = 1
+                held.append(m)
+            overlap += held[0] @ held[1].T
+        union = sizes[0][:, None] + sizes[1] - overlap.astype(np.float64)
+        linked = (overlap.astype(np.float64) * 100 >= union * threshold) & (component[0][:, None] != component[1])
+        least = [i.copy() for i in ids]
+        while linked.any():
+            mine = np.minimum(least[0], np.where(linked, least[1], np.iinfo(np.int64).max).min(1))
+            theirs = np.minimum(least[1], np.where(linked, mine[:, None], np.iinfo(np.int64).max).min(0))
+            if (mine == least[0]).all() and (theirs == least[1]).all():
+                break
+            least = [mine, theirs]
+        a, b = np.concatenate(least), np.concatenate(ids)
+        return pa.table({"a": a[a != b], "b": b[a != b]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return run
+
+
+def _cluster_links(met: DataFrame, shared: DataFrame, threshold: int) -> DataFrame:
+    """All links that join two components, among documents (id, centre, component) that meet a centre.
+
+    Who meets one centre, or a centre that meets another one's documents, is in one cluster. Documents of a cluster's
+    largest component are linked already; the others meet all of the cluster, block by block.
+    """
+    clusters = components(met.select("id", "centre"), "id", "centre").withColumnRenamed("component", "cluster")
+    members = cut(met.select("id", "component").distinct().join(clusters, "id").join(shared.select("id", "n", "grams"), "id"))
+    sizes = members.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("grams")).alias("grams"))
+    blocks = lambda docs, grams: F.ceil(F.greatest(docs / BLOCK_DOCS, grams / BLOCK_GRAMS, F.lit(1.0))).cast("int")
+    whole = sizes.groupBy("cluster").agg(F.max(F.struct("docs", "grams", "component")).alias("top"), F.sum("docs").alias("docs"), F.sum("grams").alias("grams"))
+    several = whole.where("docs > top.docs")
+    dealt = several.select("cluster", F.col("top.component").alias("largest"), blocks(F.col("docs") - F.col("top.docs"), F.col("grams") - F.col("top.grams")).alias("rows"), blocks(F.col("docs"), F.col("grams")).alias("columns"))
+    placed = members.join(dealt, "cluster")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["cluster", "i", "j", "few", "id", "n", "component", "grams"]
+    few = placed.where("component <> largest").withColumn("few", F.lit(True)).withColumn("i", block("rows")).withColumn("j", each("columns"))
+    every = placed.withColumn("few", F.lit(False)).withColumn("j", block("columns")).withColumn("i", each("rows"))
+    return few.select(*columns).unionByName(every.select(*columns)).groupBy("cluster", "i", "j").applyInArrow(_block_links(threshold), "a bigint, b bigint")
 
 
 def ngram_links(docs: DataFrame, sets: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
     """(id, component) over links between different sets; sets has one row (id, n_shingles) for each distinct set.
 
-    Links inside a component may be left out, never one that joins two. Documents of a hot n-gram first meet one of
-    them, its least id. Those that stay in other components then meet all of the n-gram's documents in other components,
-    but for pairs that can't link: by size, by what their orders still hold, or because their distances from that least id
-    differ by more than a link allows (Jaccard distance is a metric). Such a pair meets once, at its first common n-gram.
+    Links inside a component may be left out, never one that joins two.
     """
-    # a document has a row for each cut that holds shared n-grams of it; with few cuts at first, rows would outgrow documents
-    cuts = 1 << min(MOST_CUT_BITS, max(LEAST_CUT_BITS, (docs.count() // CUT_DOCS).bit_length()))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cuts = 1 << min(MOST_CUT_BITS, max(LEAST_CUT_BITS, (size // CUT_BYTES).bit_length()))
     dealt = docs.mapInArrow(_deal(cuts, n), "cut int, docs binary, counts binary, grams binary, shared binary")
-    lists = "id bigint, grams array<bigint>"
-    shared = dealt.groupBy("cut").applyInArrow(_shared_grams, lists).unionByName(docs.mapInArrow(_shared_in_slice(cuts, n), lists))
-    by_id = shared.groupBy("id").agg(F.flatten(F.collect_list("grams")).alias("grams"))
+    schema = "id bigint, gram bigint"
+    shared = dealt.groupBy("cut").applyInArrow(_shared_grams, schema).unionByName(docs.mapInArrow(_shared_in_slice(cuts, n), schema))
+    by_id = shared.groupBy("id").agg(F.collect_list("gram").alias("grams"))
     kept = cut(by_id.join(sets.select("id", F.col("n_shingles").alias("n")), "id").where(F.size("grams") >= _need(F.col("n"), threshold)))
     grams = kept.select("id", F.explode("grams").alias("gram"))
     frequent = grams.groupBy("gram").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
     ranked = grams.join(frequent, "gram").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda x: x["gram"]).alias("grams"))
     # n-grams that no other has come first in the order of rarity; they take places of the prefix
-    places = F.col("n") - _need(F.col("n"), threshold) + 1 - (F.col("n") - F.size("grams"))
+    alone = F.col("n") - F.size("grams")
+    places = F.col("n") - _need(F.col("n"), threshold) + 1 - alone
     ordered = cut(ranked.join(kept.select("id", "n"), "id").withColumn("places", places.cast("int")).where("places > 0"))
-    index = cut(ordered.select("id", "n", F.posexplode(F.slice("grams", 1, F.col("places"))).alias("at", "gram")))
+    index = cut(ordered.select("id", "n", (alone / F.col("n")).alias("alone"), F.explode(F.slice("grams", 1, F.col("places"))).alias("gram")))
     above = LOW_BITS + cuts.bit_length() - FRAGMENTS.bit_length()
     parts = ordered.select("id", "n", F.posexplode(F.array(*[F.filter("grams", _in_fragment(above, k)) for k in range(FRAGMENTS)])).alias("fragment", "grams"))
-    buckets = index.groupBy("gram").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "n")).alias("least")).where("docs > 1")
-    placed = index.join(buckets, "gram")
+    buckets = cut(index.groupBy("gram").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("alone", "id", "n")).alias("centre")).where("docs > 1"))
+    placed = cut(join_groups(index, buckets, "gram", "docs", F.col("id")).where("docs IS NOT NULL"))
     fits = lambda x, y: (x * 100 >= y * threshold) & (y * 100 >= x * threshold)
-    star = placed.where("id <> least.id").where(fits(F.col("n"), F.col("least.n"))).select(F.col("least.id").alias("a"), F.col("id").alias("b"))
+    star = placed.where("id <> centre.id").where(fits(F.col("n"), F.col("centre.n"))).select(F.col("centre.id").alias("a"), F.col("id").alias("b"))
     few = placed.where(F.col("docs").between(3, SMALL)).select("gram", "id", "n")
     x, y = few.alias("x"), few.alias("y")
     among = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.id") < F.col("y.id")) & fits(F.col("x.n"), F.col("y.n"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    first = cut(_linked(star.unionByName(among).distinct(), parts, threshold))
-    links = first.where("linked").select("a", "b")
+    links = cut(_linked(star.unionByName(among).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), parts, threshold).where("linked").select("a", "b"))
     found = cut(components(links))
 
-    # second round: hot n-grams whose documents still lie in several components
-    labelled = placed.where(F.col("docs") > SMALL).join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    apart = labelled.groupBy("gram").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high").select("gram")
-    far = first.select(F.col("a").alias("_least"), F.col("b").alias("id"), (1 - F.col("similarity")).alias("distance"))
-    rest = labelled.join(apart, "gram", "left_semi").withColumn("_least", F.col("least.id")).join(far, ["_least", "id"], "left")
-    rest = cut(rest.join(found.select(F.col("id").alias("_least"), F.col("component").alias("_first")), "_least", "left").select("gram", "at", "id", "n", "component", "distance", (F.coalesce("_first", "_least") != F.col("component")).alias("other")).where("id <> _least"))
-    # a pair meets at the first n-gram of both prefixes; what can follow there bounds the overlap
-    before = ordered.select("id", "grams", (F.col("n") - F.size("grams")).alias("_alone"))
-    rest = rest.join(before, "id").withColumn("before", F.slice("grams", 1, F.col("at"))).withColumn("after", F.col("n") - F.col("_alone") - F.col("at")).drop("grams", "_alone")
-    x, y = rest.where("other").alias("x"), rest.alias("y")
-    allowed = 1 - threshold / 100 + 1e-9
-    # a document whose size rules out a link with the least id has no distance from it
-    near = F.coalesce(F.abs(F.col("x.distance") - F.col("y.distance")) <= allowed, F.lit(True))
-    once = ~F.col("y.other") | (F.col("x.id") < F.col("y.id"))
-    reachable = F.least("x.after", "y.after") * (100 + threshold) >= (F.col("x.n") + F.col("y.n")) * threshold
-    meet = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & once & fits(F.col("x.n"), F.col("y.n")) & near & reachable & ~F.arrays_overlap("x.before", "y.before")
-    more = x.join(y, meet).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    late = cut(_linked(more, parts, threshold).where("linked").select("a", "b"))
-    if late.isEmpty():
+    # n-grams of many documents, which still lie in several components
+    many = placed.where(F.col("docs") > SMALL).select("gram", "id", F.col("centre.id").alias("centre"))
+    labelled = cut(many.join(found, "id", "left").select("gram", "id", "centre", F.coalesce("component", "id").alias("component")))
+    apart = labelled.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("docs")).where("low <> high")
+    met = cut(join_groups(labelled, cut(apart.select("gram", "docs")), "gram", "docs", F.col("id")).where("docs IS NOT NULL").select("id", "centre", "component").distinct())
+    if met.isEmpty():
         return found
-    return components(links.unionByName(late))
+    late = cut(_cluster_links(met, ordered, threshold))
+    return found if late.isEmpty() else components(links.unionByName(late))
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: int = THRESHOLD) -> DataFrame:
     """One row for each row of docs: id, n_shingles and component_id (least id reachable by links, itself included).
 
-    Equal sets stand as one row, that of their least id. Null and wordless texts have the empty set and link with
-    nothing. Rows of a null id are left out of links and are their own component (null). An empty table gives no rows.
+    Equal sets stand as one row, that of their least id; repeated rows and ties cost nothing more. Null and wordless
+    texts have the empty set and link with nothing. Rows that share an id are reachable from each other, whatever their
+    texts. Rows of a null id are left out of links and their component is null. An empty table gives no rows. Only the
+    two columns are read, so others may have any names. A very long text is cut into words in one task, in memory that
+    follows its length; its n-grams then lie in many.
+
+    N-grams are compared by 64-bit hashes, of which overlaps keep 51 bits or more: a pair of texts of 1,000 words each
+    counts one n-gram too many with a probability of 1e-9.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    same = ["n_shingles", "sum_a", "sum_b"]
     sets = shingle_sets(texts, n)
+    torn = sets.where("id IS NOT NULL").groupBy("id").agg((F.min(F.struct(*same)) != F.max(F.struct(*same))).alias("torn")).where("torn")
+    if torn.isEmpty():
+        return _joined(texts, sets, n, threshold)
+    # rows of one id and several texts: each text stands for itself, and its components are joined by the id
+    rows = cut(texts.select("id", F.when(F.col("id").isNotNull(), F.xxhash64("id", F.coalesce("text", F.lit("")))).alias("row"), "text"))
+    found = _joined(rows.select(F.col("row").alias("id"), "text"), shingle_sets(rows.select(F.col("row").alias("id"), "text"), n), n, threshold)
+    own = cut(rows.select("id", "row").join(found.distinct().withColumnRenamed("id", "row"), "row", "left"))
+    low = own.groupBy("id").agg(F.min("component_id").alias("low"))
+    merged = components(own.join(low, "id").select("component_id", "low"), "component_id", "low").select(F.col("id").alias("component_id"), "component")
+    named = own.join(merged, "component_id", "left").withColumn("component", F.coalesce("component", "component_id"))
+    least = named.where("id IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
+    back = named.where("id IS NOT NULL").join(least, "component").select("id", "n_shingles", F.col("least").alias("component_id"))
+    return back.unionByName(sets.where("id IS NULL").select("id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
+
+
+def _joined(texts: DataFrame, sets: DataFrame, n: int, threshold: int) -> DataFrame:
+    """`ngram_join` where rows of one id have one set."""
     same = ["n_shingles", "sum_a", "sum_b"]
-    classes = cut(sets.where("n_shingles > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("least")))
+    classes = cut(sets.where("n_shingles > 0 AND id IS NOT NULL").groupBy(*same).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")))
     found = ngram_links(texts.where("id IS NOT NULL"), classes.select(F.col("least").alias("id"), "n_shingles"), n, threshold)
-    named = classes.join(found.select(F.col("id").alias("least"), "component"), "least", "left").select(*same, F.coalesce("component", "least").alias("component"))
-    return sets.join(named, same, "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+    named = cut(classes.join(found.select(F.col("id").alias("least"), "component"), "least", "left").select(F.struct(*same).alias("set"), F.coalesce("component", "least").alias("component"), "rows"))
+    own = sets.select("id", "n_shingles", F.struct(*same).alias("set"))
+    return join_groups(own, named, "set", "rows", F.col("id")).select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,6 +338,27 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the least id of each group of near copies stays, and every document that links with nothing, as do those without an id."""
-    kept = ngram_join(docs.select("doc_id", "text")).where("component_id = id").select(F.col("id").alias("doc_id"))
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """Pipeline stage: the least id of each group of near copies stays, and every document that links with nothing, as do those without an id.
+
+    Texts move only for ids that seem to be among the dropped ones. Of equal rows all stay; the stage before leaves one.
+    """
+    dropped = cut(ngram_join(docs.select("doc_id", "text")).where("component_id <> id").select(F.col("id").alias("dropped")).distinct())
+    plain, (row,) = numbered(docs, "doc_id")
+    table = marks(dropped.select(F.xxhash64("dropped").alias("key")), "key")
+    seen = marked(plain, F.xxhash64(row), table, "seen")
+    left = seen.where("NOT seen").unionByName(seen.where("seen").join(dropped, F.col(row) == F.col("dropped"), "left_anti"))
+    return left.drop("seen").toDF(*docs.columns)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE
+lowered AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM lowered),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS gram FROM sets),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS overlap FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared WHERE 100 * overlap >= 80 * (n + m - overlap)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(doc_id, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, ways.y FROM reached r JOIN ways ON r.other = ways.x)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) c ON sets.doc_id = c.doc_id
+"""

@@ -17,6 +17,7 @@ QUERIES = {
     "op10_language_id": language_id.op10_language_id,
 }
 ORACLES = {
+    "op4_ngram_join": ngram_join.OP4_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op9_preference_pairs": preference.OP9_SQL,
 }
