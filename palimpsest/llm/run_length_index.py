@@ -5,6 +5,10 @@ least hash, to that hash's group; groups of one piece drop out before any text m
 one text, whose Burrows-Wheeler transform is kept as runs with suffix-array samples at both ends of each run. Only
 there are longest common prefixes looked up; between samples the matching statistics of a text fall by one a byte, so
 they are streamed over the text from the samples. Windows whose statistics reach `length` occur elsewhere.
+
+Where very many texts share a passage, its pieces are equal but for those at its edges. Equal pieces of a group too large
+for an index become one first, with their number, and what is left of the group is indexed. Edges, each with another
+neighbourhood, may leave a group that is still too large; hashes of its windows are then counted over all tasks.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bytes_of, cut, mix, plain_strings, powers, prefix_hash, slices, table
+from .common import bytes_of, cut, eights, join_groups, plain_strings, slices, table, window_hash
 
 LENGTH, GRAM = 400, 32
 #: Windows in a piece, at most; bytes of the pieces in one index, and of a group that shares an index.
@@ -29,12 +33,11 @@ TASK_BYTES, BLOCK_BYTES = 4 << 20, 16 << 20
 def pieces_of(raw: np.ndarray, places: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """Runs of windows with one least hash: hash, text, first and last window start in the text, and whether one alone may repeat."""
     none = np.zeros(0, np.int64)
-    n, width = len(raw) - gram + 1, length - gram + 1
+    width = length - gram + 1
     sizes = np.diff(places)
     if len(raw) < length or not (sizes >= length).any():
         return np.zeros(0, np.uint64), none, none, none, np.zeros(0, bool)
-    s = prefix_hash(raw)
-    h = mix((s[gram:] - s[:n]) * powers(len(s), True)[:n])
+    h = window_hash(raw, gram)
 
     def sliding(x: np.ndarray, f) -> np.ndarray:
         w = 1
@@ -128,16 +131,16 @@ class RunLengthIndex:
         self.common = self._common(self.tail, self.head)
 
     def _common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Longest common prefixes of suffixes, which end with their pieces."""
-        s = prefix_hash(self.text)
-        inverse = powers(len(s), True)
-        low = np.zeros(len(x), np.int64)
-        high = np.minimum(self.ends[np.searchsorted(self.ends, x)] - x, self.ends[np.searchsorted(self.ends, y)] - y)
-        while (low < high).any():
-            middle = (low + high + 1) // 2
-            same = (s[x + middle] - s[x]) * inverse[x] == (s[y + middle] - s[y]) * inverse[y]
-            low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
-        return low
+        """Longest common prefixes of suffixes, which end with their pieces; eight bytes at a time."""
+        most = np.minimum(self.ends[np.searchsorted(self.ends, x)] - x, self.ends[np.searchsorted(self.ends, y)] - y)
+        wide, out, rows, at = eights(self.text), np.zeros(len(x), np.int64), np.arange(len(x)), 0
+        while len(rows):
+            differ = wide[x[rows] + at] ^ wide[y[rows] + at]
+            low = differ & (~differ + np.uint64(1))  # the lowest bit that differs lies in the first byte that does
+            out[rows] = at + np.where(differ == 0, 8, np.frexp(low.astype(np.float64))[1] - 1 >> 3)
+            at += 8
+            rows = rows[(differ == 0) & (most[rows] > at)]
+        return np.minimum(out, most)
 
     def matching_statistics(self) -> np.ndarray:
         """For each place, the length of the longest string there that also starts at another place."""
@@ -150,15 +153,15 @@ class RunLengthIndex:
         return out
 
 
-def repeated_windows(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each piece, which of its windows also start elsewhere, in it or in another one."""
+def repeated_windows(pieces: list[bytes], length: int = LENGTH, times: list[int] | None = None) -> list[np.ndarray]:
+    """For each piece, which of its windows also start elsewhere, in it or in another one; a piece stands `times` times."""
     number: dict[bytes, int] = {}
     copies: list[int] = []
-    for p in pieces:
+    for p, n in zip(pieces, times or [1] * len(pieces), strict=True):
         k = number.setdefault(p, len(number))
         if k == len(copies):
             copies.append(0)
-        copies[k] += 1
+        copies[k] += n
     distinct = list(number)
     index = RunLengthIndex(distinct)
     reached = index.matching_statistics() >= length
@@ -195,14 +198,23 @@ def _texts_by_uid(docs) -> dict[int, np.ndarray]:
     return {u: raw[a:b] for u, a, b in zip(docs.column("uid").to_pylist(), places[:-1].tolist(), places[1:].tolist(), strict=True)}
 
 
-def _extract(length: int):
-    """The bytes of a block's pieces."""
+def _extract(length: int, once: bool):
+    """The bytes of a block's pieces; if `once`, only at the first of equal ones."""
 
     def run(key, docs, wanted):
         texts = _texts_by_uid(docs) if wanted.num_rows else {}
         lows, highs = wanted.column("low").to_pylist(), wanted.column("high").to_pylist()
         data = [texts[u][a : b + length].tobytes() for u, a, b in zip(wanted.column("uid").to_pylist(), lows, highs, strict=True)]
-        return pa.table({"block": wanted.column("block"), "uid": wanted.column("uid"), "key": wanted.column("key"), "low": wanted.column("low"), "task": wanted.column("task"), "piece": pa.array(data, pa.binary())})
+        columns = {c: wanted.column(c) for c in ("block", "uid", "key", "low")}
+        if not once:
+            return pa.table({**columns, "task": wanted.column("task"), "piece": pa.array(data, pa.binary())})
+        digests = [hashlib.blake2b(d, digest_size=16).digest() for d in data]
+        seen: set = set()
+        for i, name in enumerate(zip(wanted.column("key").to_pylist(), digests, strict=True)):
+            if name in seen:
+                data[i] = None
+            seen.add(name)
+        return pa.table({**columns, "digest": pa.array(digests, pa.binary()), "piece": pa.array(data, pa.binary())})
 
     return run
 
@@ -210,6 +222,23 @@ def _extract(length: int):
 RANGE = pa.schema([("block", pa.int64()), ("uid", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
+def _batches(keys: list, data: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Whole groups of sorted keys, of INDEX_BYTES together or one larger group."""
+    at = 0
+    while at < len(data):
+        to, size = at, 0
+        while to < len(data):
+            end, more = to, 0
+            while end < len(data) and keys[end] == keys[to]:
+                more += len(data[end]) + 1
+                end += 1
+            if to > at and size + more > INDEX_BYTES:
+                break
+            to, size = end, size + more
+        yield at, to
+        at = to
+
+
 def _index(length: int):
     """Repeated ranges of a task's pieces, whole groups of them in one index."""
 
@@ -217,46 +246,88 @@ def _index(length: int):
         group = group.sort_by("key")
         data, keys = group.column("piece").to_pylist(), group.column("key").to_pylist()
         blocks, uids, lows = group.column("block").to_pylist(), group.column("uid").to_pylist(), group.column("low").to_pylist()
-        rows, at = [], 0
-        while at < len(data):
-            to, size = at, 0
-            while to < len(data):  # add whole groups
-                end, more = to, 0
-                while end < len(data) and keys[end] == keys[to]:
-                    more += len(data[end]) + 1
-                    end += 1
-                if to > at and size + more > INDEX_BYTES:
-                    break
-                to, size = end, size + more
+        rows = []
+        for at, to in _batches(keys, data):
             for i, marks in zip(range(at, to), repeated_windows(data[at:to], length), strict=True):
                 rows += [(blocks[i], uids[i], a, b) for a, b in ranges(marks, lows[i], length)]
-            at = to
         return pa.table([list(c) for c in zip(*rows, strict=True)], schema=RANGE) if rows else RANGE.empty_table()
 
     return run
 
 
+PIECE = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("from", pa.list_(pa.int64())), ("to", pa.list_(pa.int64()))])
+
+
+def _piece_row(key: int, digest: bytes, n: int, marks: np.ndarray, length: int) -> tuple:
+    found = list(ranges(marks, 0, length))
+    return key, digest, n, [a for a, _ in found], [b for _, b in found]
+
+
+def _index_distinct(length: int):
+    """Repeated ranges within a task's distinct pieces."""
+
+    def run(task, group):
+        group = group.sort_by("key")
+        data, keys, digests, times = (group.column(c).to_pylist() for c in ("piece", "key", "digest", "n"))
+        rows = []
+        for at, to in _batches(keys, data):
+            marks = repeated_windows(data[at:to], length, times[at:to])
+            rows += [_piece_row(keys[i], digests[i], times[i], m, length) for i, m in zip(range(at, to), marks, strict=True)]
+        return pa.table([list(c) for c in zip(*rows, strict=True)], schema=PIECE) if rows else PIECE.empty_table()
+
+    return run
+
+
 def _windows(length: int):
-    """For groups too large for an index: two hashes of each window of a block's pieces, runs of one piece together."""
-    schema = pa.schema([("block", pa.int64()), ("uid", pa.int64()), ("at", pa.int64()), ("x", pa.int64()), ("y", pa.int64())])
+    """Two hashes of each window of distinct pieces."""
+    schema = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("at", pa.int32()), ("x", pa.int64()), ("y", pa.int64())])
 
-    def run(key, docs, wanted):
-        out = [np.zeros((5, 0), np.int64)]
-        texts = _texts_by_uid(docs) if wanted.num_rows else {}
-        for block, uid, low, high in zip(*(wanted.column(c).to_pylist() for c in ("block", "uid", "low", "high")), strict=True):
-            raw = texts[uid][low : high + length]
-            n = high - low + 1
-            hashes = []
-            for swap in (raw, raw[::-1]):  # the second one reads backwards
-                s = prefix_hash(np.ascontiguousarray(swap))
-                h = mix((s[length:] - s[:n]) * powers(len(s), True)[:n])
-                hashes.append(h.view(np.int64))
-            out.append(np.stack([np.full(n, block), np.full(n, uid), np.arange(low, high + 1), hashes[0], hashes[1][::-1]]))
-        return pa.table([pa.array(c) for c in np.concatenate(out, 1)], schema=schema)
+    def run(batches):
+        for batch in batches:
+            for key, digest, n, piece in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "n", "piece")), strict=True):
+                raw = np.frombuffer(piece, np.uint8)
+                x, y = (window_hash(raw, length, seed).view(np.int64) for seed in (1, 2))
+                m = len(x)
+                yield pa.RecordBatch.from_arrays([pa.array([key] * m, pa.int64()), pa.array([digest] * m, pa.binary()), pa.array([n] * m, pa.int64()), pa.array(np.arange(m, dtype=np.int32)), pa.array(x), pa.array(y)], schema=schema)
 
     return run
 
 
+def _ranges_of_windows(length: int):
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for key, digest, n, at in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "n", "at")), strict=True):
+                marks = np.zeros(max(at) + 1, bool)
+                marks[at] = True
+                rows.append(_piece_row(key, digest, n, marks, length))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), PIECE.types, strict=True)], schema=PIECE)
+
+    return run
+
+
+def _hot_spans(pieces: DataFrame, length: int) -> DataFrame:
+    """Repeated ranges in groups of many pieces: equal ones first become one, with their number."""
+    pieces = cut(pieces)
+    distinct = cut(pieces.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), F.first("piece", ignorenulls=True).alias("piece")))
+    size = F.octet_length("piece") + 1
+    groups = distinct.groupBy("key").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("pieces"))
+    sized = join_groups(distinct, cut(groups), "key", "pieces", F.col("digest"))
+    total = groups.where(F.col("bytes") <= GROUP_BYTES).agg(F.sum("bytes")).first()[0] or 0
+    schema = "key bigint, digest binary, n bigint, `from` array<bigint>, `to` array<bigint>"
+    task = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-total // TASK_BYTES))))
+    indexed = sized.where(F.col("bytes") <= GROUP_BYTES).select("key", "digest", "n", "piece", task.alias("task")).groupBy("task").applyInArrow(_index_distinct(length), schema)
+    hashed = sized.where(F.col("bytes") > GROUP_BYTES).select("key", "digest", "n", "piece").mapInArrow(_windows(length), "key bigint, digest binary, n bigint, at int, x bigint, y bigint")
+    twice = hashed.groupBy("x", "y").agg(F.sum("n").alias("n")).where("n > 1").select("x", "y")
+    counted = hashed.join(twice, ["x", "y"], "left_semi").groupBy("key", "digest", "n").agg(F.collect_list("at").alias("at")).mapInArrow(_ranges_of_windows(length), schema)
+    name = F.struct("key", "digest").alias("name")
+    found = cut(indexed.unionByName(counted).where(F.size("from") > 0).select(name, "n", F.arrays_zip("from", "to").alias("spans")))
+    placed = join_groups(pieces.select("block", "uid", "low", name), found, "name", "n", F.struct("uid", "low")).where("spans IS NOT NULL")
+    each = placed.select("block", "uid", "low", F.explode("spans").alias("span"))
+    return each.select("block", "uid", (F.col("low") + F.col("span.from")).alias("a"), (F.col("low") + F.col("span.to")).alias("b"))
+
+
 def _remove(length: int):
     """What is left of a block's texts."""
 
@@ -296,9 +367,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts. Null texts are empty, texts shorter than `length` stay whole, repeated rows repeat their texts. Ids are
     carried only. An empty table gives no rows.
 
-    Memory: an index holds up to INDEX_BYTES of pieces. A group of more than GROUP_BYTES (a passage that very many
-    texts share) isn't indexed; two 64-bit hashes of each of its windows are counted over all tasks instead, which finds
-    the same windows.
+    Memory: an index holds up to INDEX_BYTES of pieces, a task the texts of a block; a very long text is a block alone.
+    Other columns don't matter, whatever their names.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0]
@@ -307,21 +377,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # rows that agree in id and text have one uid and the same spans; each counts as a text
     found = cut(known.select("uid", "text").mapInArrow(_find(length, gram), "uid bigint, key bigint, low bigint, high bigint, alone boolean"))
     window = F.col("high") - F.col("low") + length
-    groups = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(window).alias("bytes"), F.max("alone").alias("alone")).where("n > 1 OR alone").select("key", "bytes")
-    wanted = cut(found.join(groups, "key").withColumn("block", F.pmod("uid", F.lit(blocks))).select("block", "uid", "key", "low", "high", "bytes"))
+    groups = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(window).alias("bytes"), F.max("alone").alias("alone")).where("n > 1 OR alone").select("key", "bytes", "n")
+    wanted = cut(join_groups(found, cut(groups), "key", "n", F.struct("uid", "low")).where("n IS NOT NULL").withColumn("block", F.pmod("uid", F.lit(blocks))).select("block", "uid", "key", "low", "high", "bytes"))
     small, large = wanted.agg(F.sum(F.when(F.col("bytes") <= GROUP_BYTES, window)), F.sum(F.when(F.col("bytes") > GROUP_BYTES, window))).first()
     tasks = max(1, -(-(small or 0) // TASK_BYTES))
     placed = known.withColumn("block", F.pmod("uid", F.lit(blocks))).repartition(blocks, "block")
     by_block = placed.groupBy("block")
     few = wanted.where(F.col("bytes") <= GROUP_BYTES).withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks)))
-    pieces = by_block.cogroup(few.groupBy("block")).applyInArrow(_extract(length), "block bigint, uid bigint, key bigint, low bigint, task bigint, piece binary")
+    pieces = by_block.cogroup(few.groupBy("block")).applyInArrow(_extract(length, False), "block bigint, uid bigint, key bigint, low bigint, task bigint, piece binary")
     spans = pieces.groupBy("task").applyInArrow(_index(length), "block bigint, uid bigint, a bigint, b bigint")
     if large:
         many = wanted.where(F.col("bytes") > GROUP_BYTES)
-        hashed = by_block.cogroup(many.groupBy("block")).applyInArrow(_windows(length), "block bigint, uid bigint, at bigint, x bigint, y bigint")
-        twice = hashed.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x", "y")
-        marked = hashed.join(twice, ["x", "y"], "left_semi")
-        spans = spans.unionByName(marked.select("block", "uid", F.col("at").alias("a"), (F.col("at") + length).alias("b")))
+        hot = by_block.cogroup(many.groupBy("block")).applyInArrow(_extract(length, True), "block bigint, uid bigint, key bigint, low bigint, digest binary, piece binary")
+        spans = spans.unionByName(_hot_spans(hot, length))
     return by_block.cogroup(spans.groupBy("block")).applyInArrow(_remove(length), "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<array<bigint>>")
 
 
