@@ -5,8 +5,6 @@ The tables hold prose, so markup operators read it projected into markup, by one
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,22 +12,9 @@ from pyspark.sql.window import Window
 from .functions import grammar, text
 from .operators import diffing, metadata, ngrams, validation
 from .operators import lines as ordered
+from .registry import ORACLES, QUERIES, query  # noqa: F401
 from .session import table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(oracle: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLES[f.__name__] = oracle
-        return f
-
-    return register
-
-
 # ---- inputs, the same in Spark and DuckDB
 
 LINES = "SELECT doc_id, source, unnest(range(len(p))) AS line_no, unnest(p) AS line FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS p FROM documents)"
@@ -70,10 +55,20 @@ def q_lines(spark, sf_dir):
     return ordered.lines(documents(spark, sf_dir))
 
 
-@query(rf"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,
-  '-\n(<\d+>)\n\t', '\1', 'g'), '([^\n/|\])>}}-])\n\t', '\1', 'g'), '-\n\t', '', 'g'), '-\n(<\d+>)\n([^\n])', '\1\2', 'g'),
-  '(\n[^\t\n-]+)\n([^\n\t])', '\1 \2', 'g'), '(\n[^\t\n-]+)\n([^\n\t])', '\1 \2', 'g'), '-\n', '', 'g'), '([^\n ])(<\d+> )', '\1 \2', 'g') AS joined
-FROM (SELECT doc_id, replace(replace(text, 'ing ', '-' || chr(10)), 'tion ', '-' || chr(10) || '<7>' || chr(10)) AS t FROM documents)""")
+def REPEATED(source: str, rules: list[tuple[str, str, bool]], out: str) -> str:
+    """SQL: each rule (pattern, replacement, whether again and again) in turn over (doc_id, t) of source, until it changes nothing."""
+    made = " ".join(f"WHEN {k} THEN regexp_replace(t, '{p}', '{r}', 'g')" for k, (p, r, _) in enumerate(rules))
+    once = ", ".join(str(k) for k, (_, _, again) in enumerate(rules) if not again) or "-1"
+    return f"""WITH RECURSIVE steps(doc_id, rule, t) AS (SELECT doc_id, 0, t FROM ({source})
+ UNION ALL SELECT doc_id, CASE WHEN made = t OR rule IN ({once}) THEN rule + 1 ELSE rule END, made FROM (SELECT doc_id, rule, t, CASE rule {made} END AS made FROM steps WHERE rule < {len(rules)}))
+ SELECT doc_id, {out} FROM steps WHERE rule = {len(rules)}"""
+
+
+HYPHENED = "SELECT doc_id, replace(replace(text, 'ing ', '-' || chr(10)), 'tion ', '-' || chr(10) || '<7>' || chr(10)) AS t FROM documents"
+JOINING = [(r"-\n(<\d+>)\n\t", r"\1", True), (r"([^\n/|\])>}-])\n\t", r"\1", True), (r"-\n\t", "", True), (r"-\n(<\d+>)\n([^\n])", r"\1\2", True), (r"(\n[^\t\n-]+)\n([^\n\t])", r"\1 \2", True), (r"-\n", "", True), (r"([^\n ])(<\d+> )", r"\1 \2", True)]
+
+
+@query(REPEATED(HYPHENED, JOINING, "t AS joined"))
 def q_hyphen_join(spark, sf_dir):
     docs = documents(spark, sf_dir, "replace(replace(text, 'ing ', '-' || chr(10)), 'tion ', '-' || chr(10) || '<7>' || chr(10))")
     return docs.select("doc_id", text.join_hyphens(F.col("text")).alias("joined"))
@@ -88,20 +83,15 @@ def q_whitespace_cleanup(spark, sf_dir):
     return docs.select("doc_id", text.clean_whitespace(F.col("text")).alias("cleaned"))
 
 
-def _removed(times: int) -> str:
-    out = r"regexp_replace(regexp_replace(regexp_replace(t, '˹([^˼]*)˼\(([^)]*)\)', '\1 \2', 'g'), '˹([^˼]*)˼', '\1', 'g'), '\(\(([^)]*)\)\)', '\1', 'g')"
-    for a, b in ("()", "<>", "≤≥", "[]", "{}"):
-        for _ in range(times):
-            out = rf"regexp_replace({out}, '\{a}[^()<>≤≥\[\]{{}}]*\{b}', '', 'g')" if a in "([{" else rf"regexp_replace({out}, '{a}[^()<>≤≥\[\]{{}}]*{b}', '', 'g')"
-    for a, b in ("«»", "¿¿"):
-        for _ in range(2):
-            out = rf"regexp_replace({out}, '{a}([^{b}]+){b}', '\1', 'g')"
-    return out
+INSIDE = r"[^()<>≤≥\[\]{}]*"
+REMOVING = [("˹([^˼]*)˼\\(([^)]*)\\)", "\\1 \\2", False), ("˹([^˼]*)˼", "\\1", False), (r"\(\(([^)]*)\)\)", "\\1", False)]
+REMOVING += [(rf"\({INSIDE}\)", "", True), (rf"<{INSIDE}>", "", True), (rf"≤{INSIDE}≥", "", True), (rf"\[{INSIDE}\]", "", True), (rf"\{{{INSIDE}\}}", "", True), ("«([^»]+)»", "\\1", True), ("¿([^¿]+)¿", "\\1", True)]
+NOTED = "'(a (b) c) [x ≤y≥] ((stage)) ˹pra˼(cha) {s} (((((((n) o) p) q) r) s) t) ' || " + EDITED
 
 
-@query(f"SELECT doc_id, {CLEAN.format(_removed(4))} AS content FROM (SELECT doc_id, '(a (b) c) [x ≤y≥] ((stage)) ˹pra˼(cha) {{s}} ' || {EDITED} AS t FROM documents)")
+@query(REPEATED(f"SELECT doc_id, {NOTED} AS t FROM documents", REMOVING, CLEAN.format("t") + " AS content"))
 def q_plain_content(spark, sf_dir):
-    docs = documents(spark, sf_dir, f"'(a (b) c) [x ≤y≥] ((stage)) ˹pra˼(cha) {{s}} ' || {EDITED}")
+    docs = documents(spark, sf_dir, NOTED)
     return docs.select("doc_id", text.plain_content(F.col("text")).alias("content"))
 
 
@@ -138,7 +128,7 @@ RESIDUALS = f"""WITH new AS (SELECT lang, gram, count(*) AS cnt FROM ({GRAMS(2,
  ref AS (SELECT gram, count(*) AS cnt FROM ({GRAMS(2, source='benchmark')}) GROUP BY ALL),
  tot AS (SELECT lang, sum(cnt) AS n FROM new GROUP BY lang),
  joined AS (SELECT tot.lang, ref.gram, coalesce(new.cnt, 0) AS observed, CAST(ref.cnt AS DOUBLE) / (SELECT CAST(sum(cnt) AS DOUBLE) FROM ref) * CAST(tot.n AS DOUBLE) AS e
-   FROM ref CROSS JOIN tot LEFT JOIN new ON new.gram = ref.gram AND new.lang = tot.lang),
+   FROM ref CROSS JOIN tot LEFT JOIN new ON new.gram = ref.gram AND new.lang IS NOT DISTINCT FROM tot.lang),
  res AS (SELECT lang, gram, observed, (observed - e) / sqrt(e) AS r FROM joined WHERE e > 0)
 """
 
@@ -362,8 +352,12 @@ def q_case_insensitive_lookup(spark, sf_dir):
 
 @query("SELECT doc_id, licence FROM documents JOIN (VALUES ('en', 'by'), ('fr', 'by-sa'), ('de', 'by-nc'), ('es', 'zero')) l(lang, licence) USING (lang)")
 def q_licence_lookup(spark, sf_dir):
+    """A language without a licence would fail the job."""
+    from .operators.header import licensed
+
     licences = spark.createDataFrame([("en", "by"), ("fr", "by-sa"), ("de", "by-nc"), ("es", "zero")], "lang string, licence string")
-    return table(spark, sf_dir, "documents").select("doc_id", "lang").join(licences, "lang").select("doc_id", "licence")
+    docs = table(spark, sf_dir, "documents").where("lang IN ('en', 'fr', 'de', 'es')").select("doc_id", "lang")
+    return licensed(docs, licences, "lang").select("doc_id", "licence")
 
 
 # ---- reports and sets
@@ -471,57 +465,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_bigram_counts(spark, sf_dir)
 
 
-# ---- editions: a fold over each document's lines; tested on small documents with known trees
-
-
-def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .plans import edition
-
-    config = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), (F.col("doc_id") % 2 == 0).alias("line_by_line"), F.lit(True).alias("drama"))
-    found = marked_lines(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string"))
-    return edition.build(found, config)
-
-
-@query()
-def q_edition_nodes(spark, sf_dir):
-    return _nodes(spark, sf_dir).drop("attrs")
-
-
-@query()
-def q_edition_readings(spark, sf_dir):
-    from .plans import edition
-
-    return edition.readings(_nodes(spark, sf_dir))
-
-
-@query()
-def q_edition_xml(spark, sf_dir):
-    from .plans import edition
-
-    return edition.xml(_nodes(spark, sf_dir))
-
-
-@query()
-def q_edition_markup(spark, sf_dir):
-    from .plans import edition
-
-    return edition.markup(_nodes(spark, sf_dir))
-
-
-@query()
-def q_edition_html(spark, sf_dir):
-    from .plans import edition
-
-    return edition.html(_nodes(spark, sf_dir))
-
-
-@query()
-def q_edition_sidecar(spark, sf_dir):
-    from .plans import edition
-
-    return edition.sidecar(_nodes(spark, sf_dir))
-
-
-@query()
-def q_node_rules(spark, sf_dir):
-    return validation.node_issues(_nodes(spark, sf_dir))
+from . import catalogue_editions, catalogue_sources  # noqa: E402, F401

@@ -29,7 +29,10 @@ def residuals(new: DataFrame, reference: DataFrame, *by: str) -> DataFrame:
     total = reference.agg(F.sum("cnt").alias("_all"))
     groups = new.groupBy(*by).agg(F.sum("cnt").alias("_new"))
     expected = reference.select("gram", F.col("cnt").alias("ref_cnt")).crossJoin(F.broadcast(total)).crossJoin(groups)
-    joined = expected.join(new, [*by, "gram"], "left").withColumn("observed", F.coalesce("cnt", F.lit(0).cast("long")))
+    # a group may have a null key, which meets its counts too
+    counted = new.select(F.struct(*by).alias("_by"), F.col("gram").alias("_gram"), "cnt")
+    meets = F.struct(*by).eqNullSafe(F.col("_by")) & (F.col("gram") == F.col("_gram"))
+    joined = expected.join(counted, meets, "left").withColumn("observed", F.coalesce("cnt", F.lit(0).cast("long")))
     joined = joined.withColumn("expected", F.col("ref_cnt") / F.col("_all") * F.col("_new")).where("expected > 0")
     return joined.select(*by, "gram", "observed", F.col("expected"), residual(F.col("observed"), F.col("expected")).alias("residual"))
 

@@ -78,6 +78,27 @@ def node_issues(nodes: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [inside, empty, values, subtype, dates, targets])
 
 
+#: Which elements may stand directly in which; elements without a row here may hold anything.
+ALLOWED_CHILDREN = {
+    "body": ["div", "p", "lg", "sp", "head", "pb", "lb", "milestone", "stage", "l", "ab"],
+    "div": ["div", "p", "lg", "sp", "head", "pb", "lb", "milestone", "stage", "l", "ab", "note"],
+    "lg": ["lg", "l", "head", "back", "pb", "lb", "milestone", "gap", "stage", "note"],
+    "l": ["choice", "del", "supplied", "unclear", "pb", "lb", "caesura", "milestone", "stage", "seg", "note", "gap"],
+    "p": ["choice", "del", "supplied", "unclear", "pb", "lb", "milestone", "stage", "seg", "note", "gap", "list", "ref", "lg"],
+    "sp": ["speaker", "p", "lg", "l", "stage", "pb", "lb", "milestone", "ab"],
+    "choice": ["sic", "corr", "orig", "reg", "unclear"],
+    "speaker": [],
+}
+
+
+def content_issues(nodes: DataFrame) -> DataFrame:
+    """(doc_id, seq, child, parent) of nodes that may not stand directly in their parent: one join of nodes with their parents."""
+    allowed = F.map_from_arrays(F.array(*map(F.lit, ALLOWED_CHILDREN)), F.array(*[F.array(*map(F.lit, v)).cast("array<string>") for v in ALLOWED_CHILDREN.values()]))
+    parents = nodes.where(F.col("tag").isin(*ALLOWED_CHILDREN)).select(F.col("doc_id").alias("_doc"), F.col("seq").alias("_seq"), F.col("tag").alias("parent"))
+    joined = nodes.join(parents, (F.col("doc_id") == F.col("_doc")) & (F.col("parent_seq") == F.col("_seq")))
+    return joined.where(~F.array_contains(F.element_at(allowed, F.col("parent")), F.col("tag"))).select("doc_id", "seq", F.col("tag").alias("child"), "parent")
+
+
 def link_lint(first: Column) -> Column:
     """What is wrong with the first of an edition's links, or null. "No ..." says that there is none."""
     return (

@@ -8,6 +8,7 @@ one document's rows.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html import escape
@@ -31,6 +32,8 @@ INLINE = [
 _inline = [(kind, re.compile(p)) for kind, p in INLINE]
 _rules = {name: re.compile(getattr(grammar, name)) for name in "SECTION LOCATION PAGE PAGE_LINE NOTE HYPHEN_END SPEAKER STAGGERED HEAD BACK VERSE_END CLOSE_LINE".split()}
 _number = re.compile(grammar.VERSE_NUMBER)
+#: Marks that count inside a code-switched span.
+_within = [(k, p) for k, p in _inline if k in ("stage", "pb")] + [("lb", re.compile("\n"))]
 
 
 @dataclass
@@ -54,42 +57,64 @@ class Node:
             self.text += text
 
 
-def whole_lines(lines: Iterable[str], drama: bool) -> Iterator[tuple[str, bool]]:
-    """Lines with corrections, stage directions and code-switched spans that run over several of them joined by \\n.
+class Spans:
+    """Lines in which corrections, stage directions and code-switched spans run over several of them, put together.
 
-    With each comes whether a blank line, or nothing, stands before it. A span that never closes ends with the text.
+    What comes out is (line, whether a blank line or nothing stands before it, whether a gloss of the verse is due after
+    it). Lines of one span are joined by \\n; a code-switched span is joined by spaces where physical lines don't count,
+    and one of verse lines alone stays as these. A span that never closes ends with the text.
     """
-    waiting: list[str] = []
-    close = ""
-    start = held_start = True
-    for line in lines:
-        if waiting:
-            waiting.append(line)
-            if close in line and (close != "≥" or "«" in line):
-                yield "\n".join(waiting), held_start
-                waiting = []
-            continue
-        if not line.strip():
-            start = True
-            continue
+
+    def __init__(self, line_by_line: bool, drama: bool):
+        self.line_by_line, self.drama = line_by_line, drama
+        self.kind, self.parts, self.began = "", [], True
+
+    def all(self, lines: Iterable[str]) -> Iterator[tuple[str, bool, bool]]:
+        start = True
+        for line in lines:
+            if line.strip():
+                yield from self.feed(line, start)
+            start = not line.strip()
+        if self.kind:
+            yield "\n".join(self.parts), self.began, False
+
+    def opened(self, line: str) -> str:
         if line.rfind("≤") > line.rfind("≥"):
-            close = "≥"
-        elif line.rfind("((") > line.rfind("))"):
-            close = "))"
-        elif drama and line.rfind("˹") > line.rfind("˼"):
-            close = "˼"
+            return "choice"
+        if "((" in line and "))" not in line:
+            return "stage"
+        return "switch" if self.drama and "˹" in line and "˼" not in line else ""
+
+    def feed(self, line: str, start: bool) -> Iterator[tuple[str, bool, bool]]:
+        if not self.kind:
+            self.kind = self.opened(line)
+            if self.kind:
+                self.parts, self.began = [line], start
+            else:
+                yield line, start, False
+            return
+        self.parts.append(line)
+        due = {"choice": "≥" in line and "«" in line, "stage": "))" in line, "switch": "˼" in line}
+        if not due[self.kind]:
+            return
+        kind, parts, began, self.kind = self.kind, self.parts, self.began, ""
+        if kind == "choice":
+            yield from self.feed("\n".join(parts), began)
+        elif kind == "stage":
+            end = line.index("))") + 2
+            yield from self.feed("\n".join([parts[0], *(x.strip() for x in [*parts[1:-1], line[:end]])]), began)
+            if rest := line[end:].strip():
+                yield from self.feed(rest, False)
+        elif all(x.startswith("\t") for x in parts):
+            parts[0], parts[-1] = parts[0].replace("˹", "", 1), parts[-1].replace("˼", "", 1)
+            yield from ((x, False, k + 1 == len(parts)) for k, x in enumerate(parts))
         else:
-            yield line, start
-            start = False
-            continue
-        waiting, held_start, start = [line], start, False
-    if waiting:
-        yield "\n".join(waiting), held_start
+            yield from self.feed(("\n" if self.line_by_line else " ").join(parts), began)
 
 
-def tokens(content: str) -> Iterator[tuple[str, object]]:
+def tokens(content: str, kinds=_inline) -> Iterator[tuple[str, object]]:
     """Text and inline marks in order: leftmost first, of those at one place the longest, none inside another."""
-    found = sorted((m.start(), -m.end(), kind, m) for kind, p in _inline for m in p.finditer(content))
+    found = sorted(((m.start(), -m.end(), kind, m) for kind, p in kinds for m in p.finditer(content)), key=lambda x: x[:2])
     at = 0
     for start, end, kind, m in found:
         if start < at:
@@ -102,248 +127,492 @@ def tokens(content: str) -> Iterator[tuple[str, object]]:
         yield "text", content[at:]
 
 
+def label_id(label: str) -> str:
+    """p{page}_l{line} for "page,line", otherwise v and the label with other characters than those of words as _."""
+    page, comma, line = (x.strip() for x in label.strip().partition(","))
+    if comma and page and line:
+        return f"p{page.replace('.', '_')}_l{line.replace('.', '_')}"
+    return "v" + re.sub(r"\W+", "_", label.strip())
+
+
 class EditionFold:
-    """State of one document: where text goes, what is open, and the counters of pages, lines and locations."""
+    """State of one document: what is open, the place where text goes, and the counters of lines and locations.
+
+    The cursor is the node that text follows as its tail, with the node that holds both; without one, text goes to what
+    is open. Text behind a break begins with a space, unless the line before ended with a hyphen or a mark stands between.
+    """
 
     def __init__(self, line_by_line: bool = False, drama: bool = False, glosses: Iterable[str] = ()):
         self.line_by_line, self.drama = line_by_line, drama
-        self.glosses = iter(glosses)
+        self.glosses, self.gloss_at = list(glosses), 0
+        self.kinds = [(k, p) for k, p in _inline if drama or k not in ("stage", "prakrit")]
         self.body = Node("body")
         self.section = self.body
         self.speech: Node | None = None
         self.para: Node | None = None
         self.verse: Node | None = None
-        self.verse_line: Node | None = None
-        self.last_line: Node | None = None
-        self.last_break: tuple[Node, Node] | None = None
-        self.group: list[Node] = []
+        self.base: str | None = None
+        self.placed = False  # the verse stands in its section already
+        self.line: Node | None = None
+        self.buffer: list[Node] = []
         self.head: Node | None = None
         self.location: str | None = None
-        self.number = 0
-        self.ids: dict[str, int] = {}
-        self.join = False
+        self.id_base: str | None = None
+        self.ids = self.number = 0
+        self.cursor: tuple[Node | None, Node] | None = None
+        self.hyphen = self.after_mark = self.bare_cue = self.switched_verse = False
+        self.last_break: tuple[Node, Node, Node] | None = None
+        self.gloss_of_span: Node | None = None
+        self.gloss_of_verse: Node | None = None
+        self.open_gloss: Node | None = None
+
+    # text and marks
+
+    def write(self, text: str) -> None:
+        if not text:
+            return
+        if self.cursor is None:
+            where = self.line or self.para
+            if where is None:
+                return
+            where.text += text
+        else:
+            node = self.cursor[1]
+            apart = node.tag in ("lb", "pb") and not self.hyphen and not self.after_mark
+            node.tail += " " * apart + text
+        self.after_mark = False
+
+    def place(self, mark: Node) -> None:
+        if self.cursor is None:
+            where = self.line or self.para
+            if where is not None:
+                where.inner.append(mark)
+        else:
+            where = self.cursor[0]
+            if where is not None:
+                where.inner.insert(next(i for i, x in enumerate(where.inner) if x is self.cursor[1]) + 1, mark)
+        self.cursor = (where, mark)
+
+    def broke(self, where: Node, hyphen: bool) -> Node:
+        """A line break at the end of a node."""
+        self.number += 1
+        made = where.add("lb", n=str(self.number), **({"break": "no"} if hyphen else {}))
+        self.last_break = (where, made, self.section)
+        return made
+
+    def inline(self, content: str) -> str:
+        """Writes text and marks; gives back what stands behind the last mark."""
+        found = list(tokens(content, self.kinds))
+        last = found[-1][1] if found and found[-1][0] == "text" else ""
+        if last and self.line_by_line:
+            found[-1] = ("text", _rules["HYPHEN_END"].sub("", last))
+            last = found[-1][1]
+        for kind, m in found:
+            if kind == "text":
+                self.write(m)
+                continue
+            if kind == "pb":
+                self.page(m[1], m[2])
+            elif kind == "choice":
+                made = Node("choice")
+                self.fill(made.add("sic"), m[1], "")
+                made.add("corr", m[2])
+                self.place(made)
+            elif kind == "prakrit":
+                self.place(self.switched(m))
+            else:
+                made = Node(kind)
+                self.fill(made, m[1], "\n" if kind == "stage" else "")
+                self.place(made)
+            self.after_mark = True
+        return last
+
+    def fill(self, node: Node, text: str, joined_by: str) -> None:
+        """Text of a mark; where physical lines count, those within end with breaks."""
+        if not self.line_by_line or "\n" not in text or node.tag in ("supplied", "unclear"):
+            node.text = text if node.tag in ("supplied", "unclear") else joined_by.join(text.split("\n"))
+            return
+        first, *others = text.split("\n")
+        node.text, before = _rules["HYPHEN_END"].sub("", first), first
+        for part in others:
+            self.broke(node, bool(_rules["HYPHEN_END"].search(before))).tail = _rules["HYPHEN_END"].sub("", part)
+            before = part
+
+    def switched(self, m: re.Match) -> Node:
+        """A code-switched span: stage directions, page and line breaks within, and its gloss.
+
+        The gloss is the companion list's next entry; without a list, what stands in brackets, or else the next line.
+        """
+        seg = Node("seg", {"type": "prakrit", "lang": "pra-Latn"})
+        last: Node | None = None
+        for kind, t in tokens(m[1], _within):
+            if kind == "text":
+                if last is None:
+                    seg.text += t
+                else:
+                    last.tail += t
+                continue
+            if kind == "stage":
+                made = seg.add("stage")
+                self.fill(made, t[1], " ")
+            elif kind == "pb":
+                attrs = {"n": t[1]}
+                if last is not None and last.tag == "lb" and not last.tail and last.attrs.get("break"):
+                    attrs["break"] = "no"
+                    seg.inner.remove(last)
+                made = Node("pb", attrs)
+                seg.inner.append(made)
+                self.number = int(t[2]) - 1 if t[2] else 0
+            else:
+                before = (last.tail if last is not None else seg.text)
+                kept = _rules["HYPHEN_END"].sub("", before)
+                if last is not None:
+                    last.tail = kept
+                else:
+                    seg.text = kept
+                self.number += 1
+                made = seg.add("lb", n=str(self.number), **({"break": "no"} if kept != before else {}))
+            last = made
+        gloss = self.next_gloss() if self.glosses else m[2]
+        if gloss is not None:
+            self.add_gloss(seg, gloss)
+        elif not self.glosses:
+            self.gloss_of_span = seg
+        return seg
+
+    def next_gloss(self) -> str | None:
+        """Entries that are used up count on."""
+        self.gloss_at += 1
+        return self.glosses[self.gloss_at - 1] if self.gloss_at <= len(self.glosses) else None
+
+    @staticmethod
+    def add_gloss(seg: Node, gloss: str) -> None:
+        seg.add("seg", gloss, type="chāyā", lang="san-Latn")
+
+    @staticmethod
+    def add_verse_gloss(verse: Node, gloss: str | None) -> None:
+        if gloss is not None:
+            made = verse.add("lg", type="chāyā", lang="san-Latn")
+            for line in filter(None, map(str.strip, gloss.splitlines())):
+                made.add("l", line)
 
     # scopes
 
     def home(self) -> Node:
         return self.speech or self.section
 
-    def end_verse(self) -> None:
+    def innermost(self) -> Node:
+        return self.line or self.verse or self.para or self.section
+
+    def next_id(self) -> dict[str, str]:
+        if self.id_base is None:
+            return {}
+        self.ids += 1
+        return {"id": self.id_base if self.ids == 1 else f"{self.id_base}_{self.ids}"}
+
+    def flush(self) -> None:
         """One verse stands alone, several at one place as a group."""
-        self.verse = self.verse_line = None
-        if len(self.group) == 1:
-            self.home().inner.append(self.group[0])
-        elif self.group:
-            attrs = {"type": "group"} | ({"n": self.location} if self.location else {})
-            self.home().inner.append(Node("lg", attrs, inner=self.group))
-        self.group = []
+        if self.verse is not None and not self.placed:
+            self.buffer.append(self.verse)
+            self.verse = self.line = None
+        if not self.buffer:
+            return
+        place = {} if self.location is None else {"n": self.location}
+        if len(self.buffer) > 1:
+            self.home().inner.append(Node("lg", {"type": "group"} | place | (self.next_id() if place else {}), inner=self.buffer))
+        else:
+            self.buffer[0].attrs |= (self.next_id() if place else {}) | place
+            self.home().inner.append(self.buffer[0])
+        self.buffer = []
+
+    def end_verse(self) -> None:
+        self.flush()
+        self.verse = self.line = None
 
     def end_para(self) -> None:
-        if self.para is not None and not self.para.inner and not self.para.text.strip() and self.para in self.home().inner:
-            self.home().inner.remove(self.para)
-            if made := self.para.attrs.get("id"):  # the next one at this place takes it
-                base = re.sub(r"_\d+$", "", made) if made not in self.ids else made
-                self.ids[base] -= 1
+        """A paragraph without anything in it goes; the next one at its place takes its id."""
+        if self.para is not None and not self.para.text and not self.para.inner:
+            home = next((h for h in (self.speech, self.section) if h is not None and any(x is self.para for x in h.inner)), None)
+            if home is not None:
+                home.inner = [x for x in home.inner if x is not self.para]
+                self.ids = max(self.ids - 1, 0)
         self.para = None
 
     def end_speech(self) -> None:
-        self.end_verse()
+        if self.speech is not None:
+            self.end_all()
+            self.speech = None
+
+    def end_all(self) -> None:
+        self.flush()
         self.end_para()
-        self.speech = None
+        self.end_verse()
 
-    def fresh_id(self) -> dict[str, str]:
-        if self.location is None:
-            return {}
-        base = self.location.strip()
-        page, comma, line = base.partition(",")
-        if comma and page.strip() and line.strip():
-            made = f"p{page.strip().replace('.', '_')}_l{line.strip().replace('.', '_')}"
-        else:
-            made = "v" + re.sub(r"\W+", "_", base)
-        self.ids[made] = n = self.ids.get(made, 0) + 1
-        return {"id": made if n == 1 else f"{made}_{n}", "n": self.location}
+    def open_para(self, home: Node, attrs: dict[str, str]) -> None:
+        self.para = Node("p", attrs)
+        home.inner.append(self.para)
+        self.cursor, self.hyphen = None, False
 
-    def open_para(self, numbered: bool = True) -> Node:
-        self.end_verse()
-        self.para = Node("p", self.fresh_id() if numbered else {})
-        self.home().inner.append(self.para)
-        self.join = False
-        return self.para
+    def start_cue(self, where: Node) -> None:
+        """The line of a cue without words ends where the next one's text begins."""
+        if self.bare_cue:
+            self.cursor, self.after_mark, self.bare_cue = (where, self.broke(where, False)), True, False
 
     # lines
 
     def run(self, lines: Iterable[str]) -> Node:
-        for line, start in whole_lines(lines, self.drama):
+        for line, start, glossed in Spans(self.line_by_line, self.drama).all(lines):
             self.take(line, start)
+            if glossed and self.glosses and self.buffer:
+                self.add_verse_gloss(self.buffer[-1], self.next_gloss())
         self.end_speech()
+        self.flush()
         if self.section is self.body and self.body.inner:
             self.body.inner = [Node("div", {"n": ""}, inner=self.body.inner)]
         return self.body
 
     def take(self, line: str, start: bool) -> None:
         rule = _rules
+        first = line.split("\n", 1)[0]
+        if self.take_gloss(line):
+            return
         if m := rule["SECTION"].match(line):
             self.end_speech()
-            self.location, self.section = None, self.body.add("div", n=m[1])
-        elif m := rule["PAGE_LINE"].match(line):
-            self.page(m[1], int(m[2]) - 1)
-        elif m := rule["PAGE"].match(line):
-            self.page(m[1], 1)
+            self.end_all()
+            self.section = self.body.add("div", n=m[1])
+            self.location = self.id_base = self.cursor = None
+            self.ids = 0
+        elif m := rule["PAGE_LINE"].match(line) or rule["PAGE"].match(line):
+            self.page(m[1], m[2] if m.re.groups > 1 else None)
         elif rule["NOTE"].match(line):
             self.number += 1
-            (self.verse_line or self.verse or self.para or self.home()).add("milestone", n=re.sub("[<>]", "", line))
+            self.innermost().add("milestone", n=re.sub("[<>]", "", line))
+            self.hyphen = False
         elif m := rule["LOCATION"].match(line):
-            self.condensed(m[1].strip(), m[2]) if m[2].strip() else self.locate(m[1].strip())
+            if m[2].strip():
+                self.condensed(m[1].strip(), m[2])
+                self.ended(line)
+            else:
+                self.locate(m[1].strip())
         elif self.drama and start and (m := rule["STAGGERED"].match(line)):
             self.speak(m[1][:-2])
             self.verse_text(m[2] + m[3])
-        elif self.drama and start and (m := rule["SPEAKER"].match(line.split("\n", 1)[0])):
-            rest = "\n".join([m[2].strip(), *line.split("\n")[1:]]).strip()
+            self.ended(line)
+        elif self.drama and start and (m := rule["SPEAKER"].match(first)):
             self.speak(m[1])
-            if m := rule["HEAD"].match(line if rest == "_" else rest):
-                self.head = Node("head", text=m[1].strip())
-            elif rest:
-                self.open_para()
-                self.prose(rest)
+            rest = (m[2].strip() + line[len(first) :]).strip()
+            if not rest:
+                self.bare_cue = True
+                self.ended(line)
+            elif h := rule["HEAD"].match(line if rest == "_" else rest):
+                self.head = Node("head", text=h[1].strip())
+            else:
+                self.speech_para()
+                self.prose(rest, line)
         elif m := rule["HEAD"].match(line):
             self.end_para()
             self.head = Node("head", text=m[1].strip())
             if self.line_by_line:
-                self.number += 1
-                self.head.add("lb", n=str(self.number))
+                self.broke(self.head, False)
         elif m := rule["BACK"].match(line):
-            if self.last_line is not None:
-                self.last_line.write(" " + m[1])
+            self.back(m[1].strip())
         elif "\t" in line:
             self.verse_text(line)
+            self.ended(line)
+        else:
+            self.take_prose(line)
+
+    def ended(self, line: str) -> None:
+        self.hyphen = bool(_rules["HYPHEN_END"].search(line))
+
+    def take_prose(self, line: str) -> None:
+        alone = False
+        if self.para is None:
+            if self.location is not None:
+                self.flush()
+                self.open_para(self.home(), {})
+            elif self.speech is not None:
+                self.speech_para()
+            else:
+                self.open_para(self.section, {})
+                alone = self.drama
+        self.prose(line, line)
+        if alone:
+            self.end_para()
+
+    def take_gloss(self, line: str) -> bool:
+        """Whether the line is a gloss in brackets, due after a code-switched span or verse without a companion list."""
+        if self.open_gloss is None and self.gloss_of_span is not None and (m := re.match(r"^\((.+)\)$", line.strip())):
+            self.add_gloss(self.gloss_of_span, m[1])
+            self.gloss_of_span = None
+            return True
+        if self.open_gloss is None:
+            if self.gloss_of_verse is None or not line.startswith("\t("):
+                return False
+            self.open_gloss, self.line = self.gloss_of_verse.add("lg", type="chāyā", lang="san-Latn"), None
+            content = "\t" + line[2:]
         else:
-            if self.para is None:
-                self.open_para(self.location is not None)
-            self.prose(line)
+            content = line if "\t" in line else "\t" + line
+        last = content.rstrip().endswith(")")
+        self.verse_text(content.rstrip()[:-1] if last else content, self.open_gloss)
+        self.ended(line)
+        if last:
+            self.open_gloss = self.gloss_of_verse = None
+        return True
 
     def locate(self, label: str) -> None:
-        self.end_verse()
-        self.end_para()
-        self.location = label
+        self.end_all()
+        self.location, self.id_base, self.ids = label, label_id(label), 0
         _, comma, line = label.partition(",")
-        if comma and line.strip().isdigit():
+        if comma and re.fullmatch(r"\s*[+-]?\d+\s*", line):
             self.number = int(line)
-        self.open_para()
+        self.open_para(self.home(), self.next_id() | {"n": label})
 
     def speak(self, who: str) -> None:
+        self.end_all()
         self.end_speech()
         self.speech = self.section.add("sp", who=who)
         self.speech.add("speaker", who)
 
-    def page(self, n: str, number: int) -> None:
-        """A page break takes the place of a line break just before it."""
-        where, attrs = self.verse_line or self.verse or self.para or self.last_line or self.home(), {"n": n}
-        if self.last_break is not None:
-            where, broken = self.last_break
-            if broken.attrs.get("break"):
-                attrs["break"] = "no"
-            where.inner.remove(broken)
-        where.inner.append(Node("pb", attrs))
-        self.last_break, self.number = None, number
-
-    def line_break(self, where: Node, hyphen: bool) -> None:
-        self.number += 1
-        made = where.add("lb", n=str(self.number), **({"break": "no"} if hyphen else {}))
-        self.last_break = (where, made)
-
-    def prose(self, line: str) -> None:
-        where, hyphen = self.para, bool(_rules["HYPHEN_END"].search(line))
-        if self.join and self.last_break is None and not self.line_by_line:
-            where.write(" ")
-        self.inline(where, re.sub(r"-\s*$", "", line) if hyphen else line)
+    def speech_para(self) -> None:
+        self.end_all()
+        placed = self.location is not None and "," in self.location
+        self.open_para(self.speech, {"n": self.location} | self.next_id() if placed else {})
+        self.start_cue(self.para)
+
+    def page(self, n: str, line: str | None) -> None:
+        """A page break takes the place of a line break that nothing follows yet."""
+        where, attrs = self.innermost(), {"n": n}
+        held = self.last_break
+        if held is not None and not held[1].tail:
+            parent, broken, section = held
+            if section is self.section or not any(x is parent for x in section.inner):
+                where = parent
+            attrs |= {"break": "no"} if broken.attrs.get("break") else {}
+            parent.inner = [x for x in parent.inner if x is not broken]
+        elif not self.line_by_line:
+            where = self.line or _last(self.section, ("l", "p")) or where
+        made = Node("pb", attrs)
+        where.inner.append(made)
+        self.last_break, self.cursor = None, (where, made)
+        self.number = int(line) - 1 if line is not None else 1
+
+    def back(self, text: str) -> None:
+        """What closes a verse from a line of its own goes to its last line."""
+        last = self.section.inner[-1:]
+        verse = self.verse or (self.buffer[-1] if self.buffer else None) or next((x for x in last if x.tag == "lg"), None)
+        line = next((x for x in reversed(verse.inner) if x.tag == "l"), None) if verse is not None else None
+        if line is not None:
+            line.write(" " + text)
+
+    def prose(self, content: str, raw: str) -> None:
+        self.inline(content)
+        if not _rules["HYPHEN_END"].search(content):
+            self.write(" ")
+        hyphen = bool(_rules["HYPHEN_END"].search(raw))
         if self.line_by_line:
-            self.line_break(where, hyphen)
-        self.join = not hyphen
+            self.cursor = (self.para, self.broke(self.para, hyphen))
+        elif not self.para.inner:
+            self.cursor = None
+        self.hyphen = hyphen
 
     def condensed(self, label: str, content: str) -> None:
         m = _number.match(label)
         base, part = (m[1], (m[2] or "").lower()) if m else (label, "")
-        if self.verse is None or self.verse.attrs.get("n") != base or not self.group:
+        if self.verse is None or self.base != base:
+            if self.para is not None and not self.para.text and not self.para.inner:
+                home = self.home()
+                home.inner = [x for x in home.inner if x is not self.para]
+                self.para = None
             self.end_verse()
-            self.end_para()
-            self.location = base
-            self.verse = Node("lg", self.fresh_id() | {"n": base})
-            self.group.append(self.verse)
-        self.last_line = self.verse.add("l", **({"n": part} if part else {}))
-        self.put_verse(self.last_line, content)
-        if _rules["CLOSE_LINE"].search(content) is None:
-            self.last_line.add("caesura")
-        self.verse_line = None
-
-    def verse_text(self, line: str) -> None:
+            self.verse = self.section.add("lg", n=base, id="v" + re.sub(r"\W+", "_", base))
+            self.base, self.placed = base, True
+        self.location = label
+        if self.line is None:
+            self.line, self.cursor = self.verse.add("l", **({"n": part} if part else {})), None
+        self.verse_content(content, content)
+
+    def verse_text(self, line: str, gloss: Node | None = None) -> None:
+        """A verse line, of the open verse or of a gloss of one."""
+        opens, closes = "˹" in line, "˼" in line
+        raw, line = line, line.replace("˹", "").replace("˼", "")
+        self.switched_verse |= opens
         self.end_para()
         head, tabs, content = re.match(r"(?s)^([^\t]*)(\t+)(.*)$", line).groups()
-        if self.verse is None:
-            self.verse = Node("lg", self.fresh_id())
-            self.group.append(self.verse)
+        head = head.strip()
+        if head and gloss is None and self.verse is not None:
+            self.buffer.append(self.verse)
+            self.verse = self.line = None
+        where = gloss or self.verse
+        if where is None:
+            where = self.verse = Node("lg")
+            self.placed = False
             if self.head is not None:
-                self.verse.inner.append(self.head)
+                where.inner.append(self.head)
                 self.head = None
-        if head.strip():
-            self.verse.add("head", head.strip())
-        if self.verse_line is None:
-            self.verse_line = self.last_line = self.verse.add("l", **({"rend": f"indent({len(tabs)})"} if len(tabs) > 1 else {}))
-        end = next((m.end() for m in _rules["VERSE_END"].finditer(content)), None)
-        own, back = (content, "") if end is None else (content[:end].rstrip(), content[end:].strip())
-        self.put_verse(self.verse_line, own)
-        if end is not None:
-            if back:
-                self.verse.add("back", back)
-            self.verse = self.verse_line = None
-        elif _rules["CLOSE_LINE"].search(content):
-            self.verse_line = None
-        else:
-            self.verse_line.add("caesura")
-
-    def put_verse(self, where: Node, content: str) -> None:
-        self.inline(where, content)
-        if self.line_by_line:
-            self.line_break(where, bool(_rules["HYPHEN_END"].search(content)))
-
-    def inline(self, where: Node, content: str) -> None:
-        """Text and marks of a line; \\n inside them is a line break."""
-        for kind, m in tokens(content):
-            if kind == "text":
-                self.broken(where, m)
-                self.last_break = None
-            elif kind == "choice":
-                made = where.add("choice")
-                self.broken(made.add("sic"), m[1])
-                made.add("corr", m[2])
-            elif kind == "pb":
-                self.page(m[1], int(m[2]) - 1 if m[2] else 1)
-            elif kind == "prakrit":
-                self.switched(where, m)
-            else:
-                self.broken(where.add(kind), m[1])
-
-    def broken(self, where: Node, text: str) -> None:
-        *broken, last = text.split("\n")
-        for part in broken:
-            hyphen = bool(_rules["HYPHEN_END"].search(part))
-            where.write(re.sub(r"-\s*$", "", part) if hyphen else part)
-            if self.line_by_line:
-                self.line_break(where, hyphen)
-            elif not hyphen:
-                where.write(" ")
-        where.write(last)
-
-    def switched(self, where: Node, m: re.Match) -> None:
-        """A code-switched span with its gloss: the companion list's next entry, or what stands in brackets."""
-        made = where.add("seg", type="prakrit")
-        for kind, t in tokens(m[1]):
-            if kind == "stage":
-                made.add("stage", t[1])
+            if head:
+                where.add("head", head)
+        elif self.line is None and head:
+            where.add("head", head)
+        if self.line is None:
+            attrs = {"rend": f"indent({len(tabs)})"} if len(tabs) > 1 and not head else {}
+            self.line, self.cursor = where.add("l", **attrs, **({"lang": "pra-Latn"} if self.switched_verse else {})), None
+            self.start_cue(self.line)
+        ends = [m.end() for m in _rules["VERSE_END"].finditer(content)]
+        own, behind = (content[: ends[-1]], content[ends[-1] :].strip()) if ends else (content, "")
+        done = self.verse_content(own, raw)
+        if behind:
+            back = where.add("back", behind)
+            if self.cursor is not None and self.cursor[1].tag in ("lb", "pb") and self.cursor[0] is not None and self.cursor[0].tag == "l":
+                parent, moved = self.cursor
+                parent.inner = [x for x in parent.inner if x is not moved]
+                back.inner.append(moved)
+                self.cursor = (back, moved)
+        if not done:
+            return
+        if closes:
+            self.switched_verse = False
+            if self.glosses:
+                self.add_verse_gloss(where, self.next_gloss())
             else:
-                self.broken(made, t if kind == "text" else t[0])
-        gloss = next(self.glosses, None) or m[2]
-        if gloss:
-            made.add("seg", gloss, type="chāyā")
+                self.gloss_of_verse = where
+        if gloss is None:
+            if self.verse is not None:
+                self.buffer.append(self.verse)
+            self.verse = None
+        self.line = None
+
+    def verse_content(self, content: str, raw: str) -> bool:
+        """Writes a verse line's text; whether the verse ends with it. A line without a close goes on behind a caesura."""
+        last, line = self.inline(content).rstrip(), self.line
+        closed, done = _rules["CLOSE_LINE"].search(last), _rules["VERSE_END"].search(last)
+        broken = not closed and bool(content)
+        if broken:
+            self.cursor = (line, line.add("caesura"))
+        if self.line_by_line:
+            self.cursor = (line, self.broke(line, bool(_rules["HYPHEN_END"].search(raw))))
+        elif not broken:
+            self.cursor = None
+        if closed:
+            self.line = None
+        return bool(done)
+
+
+def _last(node: Node, tags: tuple[str, ...]) -> Node | None:
+    """The last node of some names, in document order; without recursion."""
+    stack = [node]
+    ways: list[list[Node]] = [list(node.inner)]
+    while ways:
+        if ways[-1]:
+            child = ways[-1].pop()
+            stack.append(child)
+            ways.append(list(child.inner))
+        else:
+            ways.pop()
+            done = stack.pop()
+            if done is not node and done.tag in tags:
+                return done
+    return None
 
 
 def rows_of(doc_id: str, root: Node) -> list[tuple]:
@@ -364,173 +633,190 @@ def rows_of(doc_id: str, root: Node) -> list[tuple]:
     return [tuple(r) for r in out]
 
 
-def tree_of(rows: pd.DataFrame) -> Node:
-    """The tree of one document's rows."""
+def tree_of(rows: Iterable) -> Node:
+    """The tree of one document's rows, which stand in order."""
     made: dict[int, Node] = {}
     root = Node("body")
-    for r in rows.sort_values("seq").itertuples():
-        node = made[r.seq] = Node(r.tag, dict(r.attrs or {}), r.text or "", r.tail or "")
-        if r.parent_seq is None or r.parent_seq != r.parent_seq:
+    for r in rows:
+        node = made[r["seq"]] = Node(r["tag"], dict(r["attrs"] or {}), r["text"] or "", r["tail"] or "")
+        if r["parent_seq"] is None:
             root = node
         else:
-            made[int(r.parent_seq)].inner.append(node)
+            made[r["parent_seq"]].inner.append(node)
     return root
 
 
+def _texts(lines: DataFrame, config: DataFrame | None, glosses: DataFrame | None) -> DataFrame:
+    """One row a document: its lines in order, its settings and its glosses. The one shuffle of lines that a fold needs."""
+    texts = lines.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]).alias("lines"))
+    if config is not None:
+        texts = texts.join(config, "doc_id", "left")
+    for name, default in SETTINGS.items():
+        texts = texts.withColumn(name, F.coalesce(name, F.lit(default)) if name in texts.columns else F.lit(default))
+    entries = F.array().cast("array<string>")
+    if glosses is not None:
+        listed = glosses.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "entry"))), lambda x: x["entry"]).alias("glosses"))
+        return texts.join(listed, "doc_id", "left").withColumn("glosses", F.coalesce("glosses", entries)).select("doc_id", "lines", "glosses", *SETTINGS)
+    return texts.select("doc_id", "lines", entries.alias("glosses"), *SETTINGS)
+
+
+#: Settings of a document, and what holds for those without a row of configuration.
+SETTINGS = {"line_by_line": False, "drama": False, "line_numbers": True, "page_label": "p", "line_label": "l", "after_location": False, "split_glosses": False}
+
+
+def _folded(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """(row, tree) of each document."""
+    sys.setrecursionlimit(1_000_000)  # trees may be deep
+    for batch in batches:
+        for r in batch.itertuples():
+            yield r, EditionFold(bool(r.line_by_line), bool(r.drama), list(r.glosses)).run(list(r.lines))
+
+
 def build(lines: DataFrame, config: DataFrame | None = None, glosses: DataFrame | None = None) -> DataFrame:
     """Node rows of ordered lines (doc_id, line_no, line).
 
-    config has doc_id, line_by_line and drama; documents without a row are neither. glosses has doc_id, idx and entry. One
-    document's lines meet in one task, which a fold over them needs; the number of documents is what is spread.
+    config has doc_id and some of SETTINGS; documents without a row have the defaults. glosses has doc_id, idx and entry.
+    One document's lines meet in one task, which a fold over them needs; the number of documents is what is spread.
     """
-    texts = lines.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]).alias("lines"))
-    if config is not None:
-        texts = texts.join(config.select("doc_id", "line_by_line", "drama"), "doc_id", "left")
-    else:
-        texts = texts.withColumn("line_by_line", F.lit(False)).withColumn("drama", F.lit(False))
-    if glosses is not None:
-        entries = glosses.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "entry"))), lambda x: x["entry"]).alias("glosses"))
-        texts = texts.join(entries, "doc_id", "left")
-    else:
-        texts = texts.withColumn("glosses", F.array().cast("array<string>"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                given = list(r.glosses) if r.glosses is not None else []
-                fold = EditionFold(bool(r.line_by_line), bool(r.drama), given)
-                yield pd.DataFrame(rows_of(str(r.doc_id), fold.run(list(r.lines))), columns=[c.split()[0] for c in NODES.split(", ")])
+        for r, tree in _folded(batches):
+            yield pd.DataFrame(rows_of(str(r.doc_id), tree), columns=[c.split()[0] for c in NODES.split(", ")])
 
-    return texts.na.fill(False, ["line_by_line", "drama"]).mapInPandas(run, NODES)
+    return _texts(lines, config, glosses).mapInPandas(run, NODES)
 
 
-def _each_document(nodes: DataFrame, made: str, render) -> DataFrame:
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"doc_id": [rows["doc_id"].iloc[0]], made: [render(tree_of(rows))]})
+RENDERED = "doc_id string, xml string, reading string, markup string, glosses array<string>, html string, facts string, plain string"
 
-    return nodes.groupBy("doc_id").applyInPandas(run, f"doc_id string, {made} string")
 
+def _renderings(doc_id: str, tree: Node, r) -> list:
+    from . import rendering, reverse
 
-def to_xml(node: Node) -> str:
-    attrs = "".join(f' {"xml:id" if k == "id" else k}="{escape(v)}"' for k, v in node.attrs.items())
-    inner = escape(node.text, False) + "".join(to_xml(c) + escape(c.tail, False) for c in node.inner)
-    return f"<{node.tag}{attrs}>{inner}</{node.tag}>" if inner else f"<{node.tag}{attrs}/>"
+    view = {"line_numbers": bool(r.line_numbers), "page_label": r.page_label, "line_label": r.line_label}
+    xml, reading = to_xml(tree), to_reading(tree)
+    marked, glosses = reverse.markup(tree, bool(r.line_by_line), bool(r.split_glosses), bool(r.after_location))
+    page = rendering.plain_page(doc_id, tree, **view)
+    html, facts = rendering.rich_page(doc_id, tree, bool(r.drama), **view)  # the last one: it changes the tree
+    return [doc_id, xml, reading, marked, glosses, html, facts, page]
 
 
-def to_reading(node: Node) -> str:
-    """Plain text of what a reader takes: corrections without errors, no deletions; glosses and stage directions in brackets."""
-    if node.tag in ("sic", "del", "speaker"):
-        return ""
-    inner = node.text + "".join(to_reading(c) + c.tail for c in node.inner)
-    if node.tag == "stage":
-        return f"({inner})"
-    if node.tag == "seg" and node.attrs.get("type") == "chāyā":
-        return f" ({inner})"
-    if node.tag in ("div", "p", "l", "head", "back", "sp"):
-        return inner.strip() + "\n" if inner.strip() else ""
-    return inner
+def rendered(lines: DataFrame, config: DataFrame | None = None, glosses: DataFrame | None = None) -> DataFrame:
+    """One row a document with all that is made of it: XML, reading, markup and glosses, rich HTML and its facts, plain HTML.
 
+    Every form is written in the task that folds the document, so nothing is shuffled for it.
+    """
 
-MARKS = {"stage": ("((", "))"), "sic": ("≤", "≥"), "corr": ("«", "»"), "del": ("≤", "≥"), "supplied": ("«", "»"), "unclear": ("¿", "¿"), "note": ("(", ")")}
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for r, tree in _folded(batches):
+            yield pd.DataFrame([_renderings(str(r.doc_id), tree, r)], columns=[c.split()[0] for c in RENDERED.split(", ")])
 
+    return _texts(lines, config, glosses).mapInPandas(run, RENDERED)
 
-def to_markup(node: Node, line_by_line: bool = False) -> str:
-    """The lines that the nodes were built from."""
-    out: list[str] = [""]
 
-    def fresh() -> None:
-        if out[-1]:
-            out.append("")
+def rendered_nodes(nodes: DataFrame, config: DataFrame | None = None) -> DataFrame:
+    """`rendered` for node rows that come from elsewhere, as from XML: they meet by document in one shuffle."""
+    fields = F.struct(*[c.split()[0] for c in NODES.split(", ")][1:])
+    made = nodes.groupBy("doc_id").agg(F.array_sort(F.collect_list(fields), lambda a, b: a["seq"] - b["seq"]).alias("rows"))
+    if config is not None:
+        made = made.join(config, "doc_id", "left")
+    for name, default in SETTINGS.items():
+        made = made.withColumn(name, F.coalesce(name, F.lit(default)) if name in made.columns else F.lit(default))
 
-    def walk(n: Node, base: str | None, grouped: bool = False) -> None:
-        tag, attrs = n.tag, n.attrs
-        if tag == "speaker":
-            return
-        opening, closing = MARKS.get(tag, ("", ""))
-        if tag == "div":
-            fresh()
-            if attrs.get("n"):
-                out[-1] = "{" + attrs["n"] + "}"
-            fresh()
-        elif tag == "sp":
-            fresh()
-            out[-1] = ""
-            out.append(f"{attrs.get('who', '')} — ")
-        elif tag == "p" and "n" in attrs:
-            fresh()
-            out[-1] += f"[{attrs['n']}]"
-            fresh()
-        elif tag == "lg":
-            condensed = any(c.tag == "l" and "n" in c.attrs for c in n.inner)
-            base = attrs.get("n") if condensed else None
-            if not condensed and "n" in attrs and not grouped:
-                fresh()
-                out[-1] += f"[{attrs['n']}]"
-                fresh()
-        elif tag == "l":
-            fresh()
-            indent = re.fullmatch(r"indent\((\d+)\)", attrs.get("rend", ""))
-            out[-1] += f"[{base}{attrs.get('n', '')}]\t" if base else "\t" * (int(indent[1]) if indent else 1)
-        elif tag == "pb":
-            fresh()
-            out[-1] = f"<{attrs['n']}>"
-            fresh()
-        elif tag == "lb":
-            if attrs.get("break") == "no":
-                out[-1] += "-"
-            fresh()
-        elif tag == "milestone":
-            fresh()
-            out[-1] = f"<{attrs['n']}>"
-            fresh()
-        elif tag == "caesura":
-            out.append("\t")
-        elif tag == "back":
-            if not out[-1] and len(out) > 1:
-                out.pop()
-            out[-1] += " "
-        elif tag == "seg":
-            opening, closing = ("˹", "˼") if attrs.get("type") == "prakrit" else ("", "")
-            if attrs.get("type") == "chāyā":
-                return
-        out[-1] += opening + n.text
-        for c in n.inner:
-            walk(c, base, attrs.get("type") == "group")
-            out[-1] += c.tail
-        out[-1] += closing
-        if tag == "head":
-            out[-1] += "_"
-        if tag in ("p", "sp", "div", "head", "back") or (tag == "l" and out[-1].strip()):
-            fresh()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sys.setrecursionlimit(1_000_000)
+        for batch in batches:
+            for r in batch.itertuples():
+                yield pd.DataFrame([_renderings(str(r.doc_id), tree_of(r.rows), r)], columns=[c.split()[0] for c in RENDERED.split(", ")])
+
+    return made.select("doc_id", "rows", *SETTINGS).mapInPandas(run, RENDERED)
 
-    walk(node, None)
-    return "\n".join(x for x in (line.rstrip(" ") for line in out) if x.strip())
 
+def standalone_frame() -> str:
+    from .rendering import STANDALONE
 
-def to_html(node: Node) -> str:
-    names = {"body": "main", "div": "section", "p": "p", "lg": "ul", "l": "li", "head": "h3", "sp": "div", "back": "p"}
-    name = names.get(node.tag, "span")
-    attrs = f' class="{node.tag}"' + (f' id="{escape(node.attrs["id"])}"' if "id" in node.attrs else "") + (f' data-n="{escape(node.attrs["n"])}"' if "n" in node.attrs else "")
-    inner = escape(node.text, False) + "".join(to_html(c) + escape(c.tail, False) for c in node.inner)
-    if node.tag == "div" and node.attrs.get("n"):
-        inner = f"<h2>{escape(node.attrs['n'])}</h2>" + inner
-    return f"<{name}{attrs}>{inner}</{name}>"
+    return STANDALONE
 
 
-def xml(nodes: DataFrame) -> DataFrame:
-    return _each_document(nodes, "xml", to_xml)
+def to_xml(root: Node) -> str:
+    """Written out without recursion."""
+    out: list[str] = []
+    stack: list[Node | str] = [root]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            out.append(node)
+            continue
+        attrs = "".join(f' {"xml:" + k if k in ("id", "lang") else k}="{escape(v)}"' for k, v in node.attrs.items())
+        if not node.text and not node.inner:
+            out.append(f"<{node.tag}{attrs}/>")
+            continue
+        out.append(f"<{node.tag}{attrs}>{escape(node.text, False)}")
+        stack.append(f"</{node.tag}>")
+        for child in reversed(node.inner):
+            stack += [escape(child.tail, False), child]
+    return "".join(out)
+
 
+def condensed(verse: Node) -> bool:
+    """A verse whose lines are numbered parts."""
+    return any(c.tag == "l" and c.attrs.get("n") for c in verse.inner)
 
-def readings(nodes: DataFrame) -> DataFrame:
-    return _each_document(nodes, "reading", to_reading)
 
+def plain(node: Node) -> str:
+    """What a reader takes of a node: corrections without errors, no deletions; stage directions and glosses in brackets.
 
-def markup(nodes: DataFrame) -> DataFrame:
-    return _each_document(nodes, "markup", to_markup)
+    Tails of white space alone don't count.
+    """
+    out = node.text
+    for i, c in enumerate(node.inner):
+        kind = c.attrs.get("type") if c.tag in ("lg", "seg") else None
+        if c.tag == "choice":
+            out += "".join(plain(x) for x in c.inner if x.tag == "corr")
+        elif c.tag == "lg" and kind == "chāyā":
+            out += " (" + " ".join(plain(x) for x in c.inner if x.tag == "l") + ")"
+        elif c.tag == "stage":
+            out += f"({plain(c)})"
+            behind = node.inner[i + 1] if i + 1 < len(node.inner) else None
+            if c.tail.startswith(" ") or (not c.tail.strip() and behind is not None and behind.tag not in ("lb", "pb", "milestone")):
+                out += " "
+        elif kind == "prakrit":
+            out += _switched_words(c)
+        elif c.tag != "del" and kind != "chāyā":
+            out += plain(c)
+        if c.tail.strip():
+            out += c.tail
+    return out
+
+
+def _switched_words(seg: Node) -> str:
+    """A code-switched span's words and, in brackets, its gloss."""
+    out, gloss = seg.text, ""
+    for c in seg.inner:
+        if c.tag == "seg" and c.attrs.get("type") == "chāyā":
+            gloss = gloss or plain(c)
+            continue
+        if c.tag == "stage":
+            out += f"({plain(c)})"
+        elif c.tag == "lb":
+            out += " " if c.attrs.get("break") != "no" and c.tail and not out.endswith(" ") else ""
+        else:
+            out += plain(c)
+        out += c.tail
+    return f"{out} ({gloss})"
 
 
-def html(nodes: DataFrame) -> DataFrame:
-    return _each_document(nodes, "html", to_html)
+def to_reading(root: Node) -> str:
+    """The plain words of a body, one line for each paragraph, verse line, head and back."""
+    out: list[str] = []
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.tag in ("p", "l", "head", "back", "stage"):
+            if words := plain(node).strip():
+                out.append((f"({words})" if node.tag == "stage" else words) + "\n")
+        elif node.tag != "speaker":
+            stack.extend(reversed(node.inner))
+    return "".join(out)
 
 
 def corrections(nodes: DataFrame) -> DataFrame:
@@ -544,18 +830,3 @@ def corrections(nodes: DataFrame) -> DataFrame:
     found = both.unionByName(gone).unionByName(new)
     joined = found.join(places, (found.doc_id == places.doc_id) & (found.seq > places._from) & (found.seq <= places.end_seq), "left").drop(places.doc_id)
     return joined.groupBy("doc_id", "seq", "sic", "corr").agg(F.max_by("n", "_from").alias("n"))
-
-
-def sidecar(nodes: DataFrame) -> DataFrame:
-    """(doc_id, json): sections, corrections and what a document has."""
-    flags = nodes.groupBy("doc_id").agg(
-        F.bool_or(F.col("tag") == "l").alias("has_verses"),
-        F.bool_or(F.col("tag") == "lb").alias("has_line_breaks"),
-        F.bool_or(F.col("tag") == "sp").alias("drama"),
-        F.bool_or(F.col("attrs")["type"] == "chāyā").alias("has_chaya"),
-        F.array_sort(F.collect_list(F.when((F.col("tag") == "div") & (F.col("attrs")["n"] != ""), F.struct("seq", F.col("attrs")["n"].alias("name"))))).alias("toc"),
-    )
-    rows = corrections(nodes).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "sic", "corr", "n"))).alias("corrections"))
-    joined = flags.join(rows, "doc_id", "left")
-    made = F.struct(F.transform("toc", lambda t: t["name"]).alias("toc"), (F.size("toc") > 0).alias("has_toc"), "has_verses", "has_line_breaks", "drama", "has_chaya", F.col("corrections").isNotNull().alias("has_corrections"), F.transform("corrections", lambda c: F.struct(c["sic"].alias("sic"), c["corr"].alias("corr"), c["n"].alias("n"))).alias("corrections"))
-    return joined.select("doc_id", F.to_json(made).alias("json"))

@@ -13,6 +13,12 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, wherever Spark's file systems reach."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def read_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """(doc_id, text) of each file, without a byte-order mark; line ends become \\n."""
     found = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True).select(stem(F.col("_metadata.file_path")).alias("doc_id"), "value")
@@ -35,6 +41,13 @@ def ngram_table(texts: DataFrame) -> DataFrame:
     return parsed.select(F.explode("m").alias("n", "grams")).select(F.col("n").cast("int").alias("n"), F.explode("grams").alias("gram", "cnt"))
 
 
+def read_ngrams(spark: SparkSession, path: str) -> DataFrame:
+    """(n, gram, cnt) of a JSON file; a file that isn't there has no n-grams."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "n int, gram string, cnt bigint")
+    return ngram_table(spark.read.text(path, wholetext=True).withColumnRenamed("value", "text"))
+
+
 def ngram_json(table: DataFrame) -> DataFrame:
     """One text of a small n-gram table, as `ngram_table` reads it."""
     by_n = table.groupBy("n").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("gram", "cnt")))).alias("grams"))

@@ -12,7 +12,7 @@ from palimpsest.streaming import ngrams as stream
 def test_xml_round_trip(spark):
     text = '<TEI xmlns="urn:x"><teiHeader/><text><body><div n="1"><p n="1,1">a <pb n="2"/>b<lb/> c &amp; d</p></div></body></text></TEI>'
     nodes = xml.nodes(spark.createDataFrame([("d", text), ("bad", "<x"), ("none", None)], "doc_id string, xml string"))
-    assert {r.doc_id: r.xml for r in edition.xml(nodes).collect()} == {"d": '<body><div n="1"><p n="1,1">a <pb n="2"/>b<lb/> c &amp; d</p></div></body>'}
+    assert {r.doc_id: r.xml for r in edition.rendered_nodes(nodes).collect()} == {"d": '<body><div n="1"><p n="1,1">a <pb n="2"/>b<lb/> c &amp; d</p></div></body>'}
 
 
 def test_node_rules(spark):
@@ -70,3 +70,49 @@ def test_verse_groups_without_lines_and_double_targets(spark):
     text = "<body><lg><head>x</head></lg><lg><lg><gap/></lg></lg><ref target='a' cRef='b'/><ptr target='a' cRef='b'/><ref target='a'/><ptr cRef='b'/></body>"
     issues = validation.node_issues(xml.nodes(spark.createDataFrame([("d", text)], "doc_id string, xml string")))
     assert sorted(r.rule for r in issues.collect()) == ["lg-empty", "target-or-cref", "target-or-cref"]
+
+
+def test_residuals_of_a_null_group(spark):
+    from palimpsest.operators import ngrams
+
+    docs = spark.createDataFrame([("aaaaa", None), ("ab", "x")], "text string, lang string")
+    found = ngrams.residuals(ngrams.counts(docs, 1, "text", "lang"), spark.createDataFrame([("a", 3), ("b", 1)], "gram string, cnt bigint"), "lang")
+    assert {(r.lang, r.gram): r.observed for r in found.collect()} == {(None, "a"): 5, (None, "b"): 0, ("x", "a"): 1, ("x", "b"): 1}
+
+
+def test_malformed_xml_is_an_issue(spark):
+    texts = spark.createDataFrame([("good", "<a/>"), ("bad", "<a"), ("none", None)], "doc_id string, xml string")
+    assert sorted((r.doc_id, r.rule) for r in xml.malformed(texts).collect()) == [("bad", "not-xml"), ("none", "not-xml")]
+
+
+def test_library_runs(spark, tmp_path):
+    """Markup to XML and HTML, and back."""
+    from palimpsest import regenerate, sinks
+
+    root = tmp_path / "lib"
+    (root / "txt" / "chaya").mkdir(parents=True)
+    (root / "metadata").mkdir()
+    (root / "txt" / "one.txt").write_text("{A}\n[1,1]\n\nann — ˹foo˼ bar\n", encoding="utf-8")
+    (root / "txt" / "chaya" / "one.txt").write_text("gloss\n", encoding="utf-8")
+    (root / "txt" / "two.txt").write_text("{B}\n[2,1]\nplain words\n", encoding="utf-8")
+    (root / "metadata" / "one.md").write_text("# Title\nOne\n# L License\nby\n", encoding="utf-8")
+    config = spark.createDataFrame([("one", True, True)], "doc_id string, drama boolean, split_glosses boolean")
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "checkpoints"))
+    template = "<TEI><teiHeader><title>{{TITLE}}</title><availability>x</availability></teiHeader></TEI>"
+    regenerate.everything(spark, str(root), "xml", "7", config, template=template, licences={"by": "<p/>"}, mark="L")
+    made = {r.doc_id: r.text for r in sinks.read_documents(spark, f"{root}/xml").collect()}
+    assert "<title>One</title>" in made["one"] and "gloss</seg>" in made["one"] and "plain words" in made["two"]
+    assert {r.doc_id for r in sinks.read_documents(spark, f"{root}/html").collect()} == {"one", "two"}
+    regenerate.everything(spark, str(root), "txt", "7", config)
+    back = {r.doc_id: r.text for r in sinks.read_documents(spark, f"{root}/txt-made").collect()}
+    assert "˹foo˼ bar" in back["one"] and "plain words" in back["two"]
+    assert {r.doc_id: r.text for r in sinks.read_documents(spark, f"{root}/txt-made-companions").collect()} == {"one": "gloss"}
+
+
+def test_versions_and_comparison(spark, tmp_path):
+    from palimpsest import sinks
+
+    assert sinks.versioned('__v__ = "1"', "__v__", "2") == '__v__ = "2"' and sinks.versioned('__v__ = "1"', "__v__", "1") is None
+    rows = spark.createDataFrame([("f", "s", "m", 1, 0, "left"), ("g", "s", "m", 1, 1, "both")], "svrl_file string, status string, message string, left_count int, right_count int, side string")
+    sinks.write_comparison(rows, str(tmp_path / "c"))
+    assert spark.read.csv(str(tmp_path / "c" / "both"), header=True).first().svrl_file == "g"
