@@ -48,11 +48,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; what each stage returns lies in the folder that the cluster shares."""
+    """The rows of the last stage. What a stage returns lies in the folder that the cluster shares until the next one is written."""
     folder = posixpath.join(shared_folder(spark), f"corpus-{uuid.uuid4().hex}")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         path = posixpath.join(folder, f"{k}-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            _delete(spark, before)
+        before = path
     return docs
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
