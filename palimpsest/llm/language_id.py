@@ -7,32 +7,29 @@ Piece probabilities are fitted by expectation-maximization, whose expected count
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from .common import crc_mod, table
+from .common import crc_mod, cut, marked, marks, numbered, table
 
-#: Labelled texts of each language that the model is fitted on, at most; all rows are scored.
+#: Labelled texts of each language that the model is fitted on, at most (in whole words of any length); all rows are scored.
 FIT_TEXTS = 256
-#: The fit reads so many words of these texts, at most, for each language: the most frequent ones.
-FIT_WORDS = 20_000
 ROUNDS, SMOOTHING = 3, 0.05
-#: Words up to this length are scored together; longer ones one by one with rescaled sums.
+#: Words up to this length are summed together; longer ones one by one, in logarithms.
 SHORT = 32
 CACHE_WORDS = 1 << 18
 UNKNOWN = "und"
 
-_letters = re.compile(r"[^\W\d_]+").findall
+_letters = regex.compile(r"\p{L}+").findall
 
 
 @lru_cache(maxsize=2)
@@ -101,104 +98,141 @@ def lattices(group: list[str], known: dict[str, int]) -> Iterator[tuple[np.ndarr
             yield np.array(at[k : k + 4096]), Lattice([group[i] for i in at[k : k + 4096]], known, longest)
 
 
+class LongWord:
+    """Sums over all ways to cut one word of any length, in logarithms; time and memory follow its length."""
+
+    def __init__(self, word: str, known: dict[str, int], longest: int):
+        marked, missing = "▁" + word, len(known)
+        self.n = len(marked)
+        self.into: list[list[tuple[int, int]]] = [[] for _ in range(self.n + 1)]
+        for end in range(1, self.n + 1):
+            for start in range(max(0, end - longest), end):
+                i = known.get(marked[start:end], missing if end - start == 1 else -1)
+                if i >= 0:
+                    self.into[end].append((start, i))
+
+    def forward(self, log_p: np.ndarray) -> np.ndarray:
+        a = np.zeros((self.n + 1, log_p.shape[1]))
+        for end in range(1, self.n + 1):
+            a[end] = np.logaddexp.reduce([a[start] + log_p[i] for start, i in self.into[end]], 0)
+        return a
+
+    def expected(self, log_p: np.ndarray, weight: np.ndarray, into: np.ndarray) -> None:
+        a = self.forward(log_p)
+        b = np.full_like(a, -np.inf)
+        b[self.n] = 0
+        for end in range(self.n, 0, -1):
+            for start, i in self.into[end]:
+                share = log_p[i] + b[end]
+                into[i] += weight * np.exp(a[start] + share - a[self.n])
+                b[start] = np.logaddexp(b[start], share)
+
+
 @dataclass
 class Model:
-    """Log prior and piece probabilities of each language; of a bounded size, vocabulary times languages."""
+    """Piece probabilities of each language; its size is that of the vocabulary times the languages."""
 
     path: str
     languages: list[str]
     p: np.ndarray
 
+    @property
+    def longest(self) -> int:
+        return max(map(len, pieces(self.path)), default=1)
+
     def long_word(self, word: str) -> np.ndarray:
-        """Log probability of a word of any length, in time that follows its length."""
-        known = pieces(self.path)
-        longest, missing, word = max(map(len, known), default=1), len(known), "▁" + word
-        sums, log = [np.ones(len(self.languages))], np.zeros(len(self.languages))
-        for end in range(1, len(word) + 1):
-            total = np.zeros(len(self.languages))
-            for back in range(1, min(longest, end) + 1):
-                i = known.get(word[end - back : end], missing if back == 1 else -1)
-                if i >= 0:
-                    total += sums[-back] * self.p[i]
-            sums.append(total)
-            del sums[:-longest]
-            if end % 16 == 0:
-                top = np.maximum(sums[-1], 1e-300)
-                log += np.log(top)
-                sums = [s / top for s in sums]
-        return log + np.log(np.maximum(sums[-1], 1e-300))
+        """Log probability of a word of any length."""
+        found = LongWord(word, pieces(self.path), self.longest)
+        return found.forward(np.log(self.p))[found.n]
 
     def score_words(self, group: list[str]) -> np.ndarray:
+        """Log probabilities of words up to SHORT."""
         out = np.zeros((len(group), len(self.languages)))
         for at, lattice in lattices(group, pieces(self.path)):
-            if lattice.n - 1 <= SHORT:
-                out[at] = np.log(np.maximum(lattice.forward(self.p)[lattice.n], 1e-300))
+            out[at] = np.log(np.maximum(lattice.forward(self.p)[lattice.n], 1e-300))
         return out
 
+    def expected(self, group: list[str], weight: np.ndarray) -> np.ndarray:
+        """Expected counts of the pieces in words that occur `weight` times (a row a word, a column a language)."""
+        known, counts = pieces(self.path), np.zeros_like(self.p)
+        short = [i for i, w in enumerate(group) if len(w) <= SHORT]
+        for at, lattice in lattices([group[i] for i in short], known):
+            lattice.expected(self.p, weight[np.array(short)[at]], counts)
+        for i, w in enumerate(group):
+            if len(w) > SHORT:
+                LongWord(w, known, self.longest).expected(np.log(self.p), weight[i], counts)
+        return counts
+
 
-def fit(samples: dict[str, Counter], path: str) -> Model:
-    """A model of the words of each language."""
-    languages = sorted(samples)
-    known = pieces(path)
-    kept = {x: dict(samples[x].most_common(FIT_WORDS)) for x in languages}
-    group = sorted({w for c in kept.values() for w in c if len(w) <= SHORT})
-    weight = np.array([[kept[x].get(w, 0) for x in languages] for w in group], float).reshape(len(group), len(languages))
-    p = np.full((len(known) + 1, len(languages)), 1 / (len(known) + 1))
-    built = list(lattices(group, known))
-    for _ in range(ROUNDS if group else 0):
-        counts = np.full_like(p, SMOOTHING)
-        for at, lattice in built:
-            lattice.expected(p, weight[at], counts)
-        p = counts / counts.sum(0)
-    return Model(path, languages, p)
+def fit(counts: DataFrame, path: str) -> Model:
+    """A model of the words (lang, word, n) of each language.
+
+    Words stay in their tasks. To the driver come the languages and, in each round, one number for each piece of the
+    vocabulary and language.
+    """
+    languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
+    size = len(pieces(path)) + 1
+    model = Model(path, languages, np.full((size, len(languages)), 1 / size))
+    number = {x: i for i, x in enumerate(languages)}
+    for _ in range(ROUNDS if languages else 0):
+        shared = counts.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            total = np.zeros_like(shared.value.p)
+            for batch in batches:
+                group, weight = batch.column("word").to_pylist(), np.zeros((batch.num_rows, len(number)))
+                weight[np.arange(len(group)), [number[x] for x in batch.column("lang").to_pylist()]] = np.asarray(batch.column("n"), float)
+                total += shared.value.expected(group, weight)
+            piece, lang = np.nonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int32)), pa.array(lang.astype(np.int32)), pa.array(total[piece, lang])], ["piece", "lang", "value"])
+
+        sums = counts.mapInArrow(run, "piece int, lang int, value double").groupBy("piece", "lang").agg(F.sum("value"))
+        p = np.full((size, len(languages)), SMOOTHING)
+        for piece, lang, value in sums.collect():
+            p[piece, lang] += value
+        model = Model(path, languages, p / p.sum(0))
+        shared.destroy()
+    return model
 
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = FIT_TEXTS) -> DataFrame:
     """At most about `per_language` texts of each label, those whose ids hash lowest within 16 shares of the label."""
-    keys = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"))
-    order = F.xxhash64("_id")
-    share = Window.partitionBy("_lang", F.pmod(order, F.lit(16))).orderBy(order, "_id")
-    chosen = keys.withColumn("_n", F.row_number().over(share)).where(F.col("_n") <= -(-per_language // 16)).select("_id")
-    # at most per_language + 15 ids a label are sent to all tasks, so that texts don't move
-    return docs.join(F.broadcast(chosen.distinct()), F.col(id_col) == F.col("_id"), "left_semi").select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL")
+    order = F.xxhash64("id")
+    share = Window.partitionBy("lang", F.pmod(order, F.lit(16))).orderBy(order, "id")
+    chosen = cut(rows.select("id", "lang").withColumn("n", F.row_number().over(share)).where(F.col("n") <= -(-per_language // 16)).select("id").distinct())
+    # texts move only for ids that seem to be chosen
+    seen = marked(rows, order, marks(chosen.select(order.alias("key")), "key"), "seen").where("seen")
+    return seen.join(chosen, "id", "left_semi").select("lang", "text")
 
 
-def count_words(sample: DataFrame) -> dict[str, Counter]:
-    """Word counts by label: at most FIT_WORDS words of each share of a label come to the driver."""
+def count_words(sample: DataFrame) -> DataFrame:
+    """(lang, word, n): all words of the sample."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[str, Counter] = {}
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                counts.setdefault(lang, Counter()).update(w for w in words(text) if len(w) <= SHORT)
-        rows = [(lang, w, n) for lang, c in counts.items() for w, n in c.most_common(FIT_WORDS)]
-        yield pd.DataFrame(rows, columns=["lang", "word", "n"])
-
-    found = sample.mapInPandas(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    out: dict[str, Counter] = {}
-    for lang, word, n in found.toLocalIterator():
-        out.setdefault(lang, Counter())[word] = n
-    return out
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found = words(text)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string())], ["lang", "word"])
 
+    return cut(sample.mapInArrow(count, "lang string, word string").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score (the posterior of that language, all languages being as likely before).
 
-    Every whole text is scored where it lies, without a shuffle. A text that is null or has no letter, and every text
-    if the model has no language, is `und` with score 0. Columns named lang_pred and score are replaced.
-    """
-    docs = docs.drop("lang_pred", "score")
-    schema = StructType.fromJson(docs.schema.jsonValue()).add("lang_pred", "string").add("score", "double")
+def _predicted(docs: DataFrame, model: Model, text_col: str) -> tuple[DataFrame, list[str]]:
+    """docs with numbered columns, and lang_pred and score; the numbered columns."""
+    plain, (text,) = numbered(docs, text_col)
+    at, names = plain.columns.index(text), [*plain.columns, "lang_pred", "score"]
+    schema = StructType.fromJson(plain.schema.jsonValue()).add("lang_pred", "string").add("score", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     cache: dict[str, int] = {}
     rows: list[np.ndarray] = []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for whole in batches:
-            for k in range(0, len(whole), 256):
-                batch = whole.iloc[k : k + 256]
-                found = [words(t) for t in batch[text_col]]
+            for k in range(0, whole.num_rows, 256):
+                batch = whole.slice(k, 256)
+                found = [words(t) for t in batch.column(at).to_pylist()]
                 if len(cache) > CACHE_WORDS:
                     cache.clear()
                     rows.clear()
@@ -224,9 +258,22 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                     best = int(log.argmax())
                     langs.append(model.languages[best])
                     scores.append(float(1 / np.exp(log - log[best]).sum()))
-                yield batch.assign(lang_pred=langs, score=scores)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names)
+
+    return plain.mapInArrow(run, schema), plain.columns
 
-    return docs.mapInPandas(run, schema)
+
+def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """docs with lang_pred and score (the posterior of that language, all languages being as likely before).
+
+    Every whole text is scored where it lies, without a shuffle; words are runs of letters (Unicode's category L). A text
+    that is null or has no letter, and every text if the model has no language, is `und` with score 0. Ties go to the
+    first language by name; repeated rows score alike. A very long text or word costs time and memory in proportion. An
+    empty table gives no rows. Columns named lang_pred and score are replaced, others stay whatever their names.
+    """
+    docs = docs.drop("lang_pred", "score")
+    found, _ = _predicted(docs, model, text_col)
+    return found.toDF(*docs.columns, "lang_pred", "score")
 
 
 def piece_path() -> str:
@@ -244,10 +291,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = learn(docs)
-    held_out = (crc_mod("doc_id", 4) == 2).alias("held_out")
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out")
     return predict(docs.select("doc_id", "text", held_out), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents whose language can be told."""
-    return predict(docs, learn(docs)).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    found, columns = _predicted(docs, learn(docs), "text")
+    return found.where(F.col("lang_pred") != UNKNOWN).select(*columns).toDF(*docs.columns)

@@ -120,33 +120,25 @@ def test_exact(spark):
     assert exact_dedup.exact_dedup(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
 
 
-CLASHING = ["words", "quota", "shard", "score", "size", "kept", "text_sha256", "_size", "_keep", "keep", "sha", "n", "id", "key", "same", "c0", "row", "target", "taken", "lang_pred"]
-
-
-def clashing(spark, rows):
-    """Rows of (doc_id, text) with columns whose names an operator might want for itself."""
-    return spark.createDataFrame([(*r, *CLASHING) for r in rows], f"doc_id bigint, text string, {', '.join(c + ' string' for c in CLASHING)}")
-
-
-def test_exact_repeated_rows_and_names(spark):
+def test_exact_repeated_rows_and_names(spark, clashing):
     rows = [(1, "a b"), (1, "a b"), (1, "a b"), (0, "a b"), (2, "x"), (2, "x"), (3, "alone"), (4, None), (4, None), (4, "")]
-    df = clashing(spark, rows)
+    df = clashing(rows)
     got = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(df).collect())
     assert got == sorted([(1, 1, 4, False), (1, 1, 4, False), (1, 1, 4, True), (0, 1, 4, False), (2, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True), (4, 4, 3, False), (4, 4, 3, False), (4, 4, 3, True)])
     left = exact_dedup.keep_last(spark, df, "")
     assert left.columns == df.columns
-    assert sorted((r.doc_id, *r[2:]) for r in left.collect()) == [(i, *CLASHING) for i in (1, 2, 3, 4)]
+    assert sorted((r.doc_id, *r[2:]) for r in left.collect()) == [(i, *clashing.names) for i in (1, 2, 3, 4)]
     mapped = df.selectExpr("doc_id", "text", "map(words, 1) AS m")
     assert sorted(r.doc_id for r in exact_dedup.keep_last(spark, mapped, "").collect()) == [1, 2, 3, 4]
     nothing = df.where("false")
     assert exact_dedup.keep_last(spark, nothing, "").collect() == [] and exact_dedup.keep_last(spark, nothing, "").columns == df.columns
 
 
-def test_near_copies_stage_names(spark):
+def test_near_copies_stage_names(spark, clashing):
     text = " ".join(f"w{i}" for i in range(60))
-    df = clashing(spark, [(5, text), (3, text + " more"), (9, "other words"), (None, text), (9, "other words"), (None, None)])
+    df = clashing([(5, text), (3, text + " more"), (9, "other words"), (None, text), (9, "other words"), (None, None)])
     left = ngram_join.keep_one_of_each(spark, df, "")
     assert left.columns == df.columns
-    assert sorted((r.doc_id or 0, *r[2:]) for r in left.collect()) == [(i, *CLASHING) for i in (0, 0, 3, 9, 9)]
+    assert sorted((r.doc_id or 0, *r[2:]) for r in left.collect()) == [(i, *clashing.names) for i in (0, 0, 3, 9, 9)]
     nothing = df.where("false")
     assert ngram_join.keep_one_of_each(spark, nothing, "").collect() == []
