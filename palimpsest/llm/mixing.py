@@ -4,6 +4,9 @@ Words of a source lie in shards; a shard's words, in a seeded order of its docum
 many words. Blocks are given to sources by highest quotients target / (2k + 1), and a source's blocks to its shards by
 highest quotients words / (2k + 1), so that each shard has an integer quota. A shard takes as many blocks, from a seeded
 place on, each at most twice; most documents are so taken whole or not at all.
+
+What a shard takes is a run of its order, so one row a shard says it all: the order's bounds, and the documents at the
+ends that are taken in part. Documents meet that row where they lie; only (source, order, size) of each ever moves.
 """
 
 from __future__ import annotations
@@ -16,10 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, table
+from .common import WORD, cut, numbered, table
 
 #: Words in a block, documents in a shard of the whole table (about), and seed.
-BLOCK_WORDS, SHARD_DOCS, SEED = 16, 4096, 20
+BLOCK_WORDS, SHARD_DOCS, SEED = 16, 1024, 20
+#: Shards of all sources together, at most, unless there are more sources: a row of about 200 bytes each goes to all tasks.
+MOST_SHARDS = 1 << 16
 WEIGHTS = (5, 2, 1)
 
 
@@ -105,51 +110,74 @@ def _quotas_of_shards(block_words: int):
     return run
 
 
-def _chosen(block: Column, blocks: Column, extra: Column, key: Column) -> Column:
-    """Whether a block is among the `extra` ones that follow a seeded place of its shard, whose documents stand in a seeded order."""
-    return F.pmod(block - F.pmod(key, blocks), blocks) < extra
+def _shares(light: DataFrame, shards: int, by_source: DataFrame, block_words: int, seed: int) -> DataFrame:
+    """One row for each source_key and shard: how often all of it is taken, and what run of its order once more."""
+    shard = F.pmod("order", F.lit(shards)).alias("shard")
+    units = light.groupBy("source_key", shard, "order").agg(F.sum("size").alias("unit"))
+    by_shard = light.groupBy("source_key", shard).agg(F.sum("size").alias("words"))
+    named = by_source.select(F.when(F.col("source_key").startswith("s"), F.expr("substring(source_key, 2)")).alias("source"), "source_size")
+    seats = with_targets(named).coalesce(1).mapInPandas(_seats_of_sources(block_words), "source string, source_size bigint, target double, seats bigint")
+    seats = seats.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))).drop("source")
+    schema = "source_key string, shard bigint, words bigint, quota bigint, source_size bigint, target double"
+    quotas = by_shard.join(seats, "source_key").groupBy("source_key").applyInPandas(_quotas_of_shards(block_words), schema)
+    place = Window.partitionBy("source_key", "shard").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+    placed = units.join(quotas, ["source_key", "shard"]).withColumn("start", F.coalesce(F.sum("unit").over(place), F.lit(0).cast("long")))
+    blocks = F.greatest(F.ceil(F.col("words") / block_words), F.lit(1)).cast("long")
+    placed = placed.withColumn("end", F.col("start") + F.col("unit")).withColumn("blocks", blocks)
+    low = F.pmod(F.xxhash64(F.lit(seed), "source_key", "shard"), F.col("blocks")) * block_words
+    high = F.col("low") + F.pmod(F.col("quota"), F.col("blocks")) * block_words
+    placed = placed.withColumn("low", low).withColumn("high", high).withColumn("wrapped", F.col("high") - F.col("blocks") * block_words)
+    none = F.lit(0).cast("long")
+    once = F.greatest(none, F.least("end", "high") - F.greatest("start", "low"))
+    again = F.greatest(none, F.least("end", "wrapped") - F.col("start"))
+    placed = placed.withColumn("once", once).withColumn("again", again)
+    first, second = (F.when((F.col("unit") > 0) & (F.col(c) == F.col("unit")), F.col("order")) for c in ("once", "again"))
+    part = F.col("once") + F.col("again")
+    ends = F.when((part > 0) & (part < F.col("unit")), F.struct("order", part.alias("part"), "unit"))
+    of_shard = [F.first(c).alias(c) for c in ("source_size", "target")]
+    passes = F.first(F.floor(F.col("quota") / F.col("blocks")).cast("long")).alias("passes")
+    return placed.groupBy("source_key", "shard").agg(passes, *of_shard, F.min(first).alias("from_1"), F.max(first).alias("to_1"), F.min(second).alias("from_2"), F.max(second).alias("to_2"), F.collect_list(ends).alias("ends"))
+
+
+def _mixed(docs: DataFrame, id_col: str, text_col: str, source_col: str, block_words: int, seed: int) -> tuple[DataFrame, list[str]]:
+    """docs with numbered columns, and size, source_size, target and taken; the numbered columns."""
+    plain, (row, text, source) = numbered(docs, id_col, text_col, source_col)
+    # a null source has a key of its own, so that joins find it
+    keyed = plain.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n"))).withColumn("order", F.xxhash64(F.lit(seed), F.col(row)))
+    sized = keyed.withColumn("size", F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long"))
+    light = cut(sized.select("source_key", "order", "size"))
+    by_source = cut(light.groupBy("source_key").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs")))
+    n, sources = by_source.agg(F.coalesce(F.sum("docs"), F.lit(0)), F.count(F.lit(1))).first()
+    shards = max(1, min(-(-n // SHARD_DOCS), MOST_SHARDS // max(sources, 1)))
+    shares = cut(_shares(light, shards, by_source, block_words, seed))
+    if shards * sources <= MOST_SHARDS:
+        shares = F.broadcast(shares)
+    met = sized.withColumn("shard", F.pmod("order", F.lit(shards))).join(shares, ["source_key", "shard"])
+    order, size = F.col("order"), F.col("size")
+    inside = F.coalesce(order.between(F.col("from_1"), F.col("to_1")), F.lit(False)) | F.coalesce(order.between(F.col("from_2"), F.col("to_2")), F.lit(False))
+    end = F.get(F.filter("ends", lambda x: x["order"] == order), 0)
+    at_end = F.floor(size.cast("decimal(38,0)") * end["part"] / end["unit"]).cast("long")
+    more = F.coalesce(at_end, F.when(inside, size), F.lit(0).cast("long"))
+    return met.select(*plain.columns, "size", "source_size", "target", (size * F.col("passes") + more).alias("taken")), plain.columns
+
+
+ADDED = ["size", "source_size", "target", "taken"]
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """docs with size, source_size, target and taken (words the mix takes of the document, repeats counted).
 
     Each source's words come within a few blocks a shard of its target, and no document gives more than twice its size.
-    Null texts have no words and give none; rows without a source are a source of their own. Rows with one id are
-    ordered by their size. An empty table gives an empty result. Columns of these names are replaced.
+    Null and empty texts have no words and give none; rows without a source are a source of their own. Rows with one id,
+    repeated rows and null ids stand at one place of the order and share what is taken there. A very long text is one
+    document, of which a part may be taken. An empty table gives an empty result. Columns of the added names are replaced;
+    others stay as they are, whatever their names.
 
-    What is gathered: one row a source for the targets, one row a shard of a source for the quotas. Documents move once,
-    as id and size, to their shard, and shards hold about `SHARD_DOCS` documents whatever the size of a source.
+    What is gathered: one row a source for the targets, and the shards of one source for their quotas (MOST_SHARDS at most).
     """
-    docs = docs.drop("size", "source_size", "target", "taken")
-    spark = docs.sparkSession
-    shards = max(1, -(-docs.count() // SHARD_DOCS))
-    order = F.xxhash64(F.lit(seed), F.col(id_col))
-    sized = docs.withColumn("size", F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long"))
-    # a null source has a key of its own, so that joins find it
-    sized = sized.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n"))).withColumn("shard", F.pmod(order, F.lit(shards)))
-    by_shard = sized.groupBy("source_key", "shard").agg(F.sum("size").alias("words"), F.first(source_col).alias("source"))
-    by_source = by_shard.groupBy("source_key").agg(F.sum("words").alias("source_size"), F.first("source").alias("source"))
-    targets = with_targets(by_source.select("source", "source_size"))
-    seats = targets.coalesce(1).mapInPandas(_seats_of_sources(block_words), "source string, source_size bigint, target double, seats bigint")
-    seats = seats.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))).drop("source")
-    quotas = by_shard.drop("source").join(seats, "source_key").groupBy("source_key").applyInPandas(_quotas_of_shards(block_words), "source_key string, shard bigint, words bigint, quota bigint, source_size bigint, target double")
-    joined = sized.join(quotas, ["source_key", "shard"])
-    place = Window.partitionBy("source_key", "shard").orderBy(order, "size").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("size").over(place), F.lit(0).cast("long"))
-    blocks = F.greatest(F.ceil(F.col("words") / block_words), F.lit(1)).cast("long")
-    placed = joined.withColumn("_start", start).withColumn("_end", F.col("_start") + F.col("size")).withColumn("_blocks", blocks)
-    passes, extra = F.floor(F.col("quota") / F.col("_blocks")).cast("long"), F.pmod(F.col("quota"), F.col("_blocks"))
-    key = F.xxhash64(F.lit(seed), "source_key", "shard")
-    width = F.lit(block_words)
-    mine = F.sequence(F.floor(F.col("_start") / width).cast("long"), F.floor((F.col("_end") - 1) / width).cast("long"))
-
-    def overlap(total: Column, block: Column) -> Column:
-        words = F.least(F.col("_end"), (block + 1) * width) - F.greatest(F.col("_start"), block * width)
-        return total + F.when(_chosen(block, F.col("_blocks"), F.col("_extra"), F.col("_key")), words).otherwise(F.lit(0).cast("long"))
-
-    parts = F.when(F.col("size") > 0, F.aggregate(mine, F.lit(0).cast("long"), overlap)).otherwise(F.lit(0).cast("long"))
-    taken = F.col("size") * F.col("_passes") + parts
-    return placed.withColumn("_passes", passes).withColumn("_extra", extra).withColumn("_key", key).withColumn("taken", taken).select(*docs.columns, "size", "source_size", "target", "taken")
+    docs = docs.drop(*ADDED)
+    rows, _ = _mixed(docs, id_col, text_col, source_col, block_words, seed)
+    return rows.toDF(*docs.columns, *ADDED)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +187,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: each document stands as often as the mix takes it, to the nearest whole number (0, 1 or 2)."""
-    mixed = mix(docs)
+    rows, columns = _mixed(docs, "doc_id", "text", "source", BLOCK_WORDS, SEED)
     times = F.when(F.col("taken") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    return mixed.withColumn("_times", times).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    found = rows.withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
+    return found.select(*columns).toDF(*docs.columns)

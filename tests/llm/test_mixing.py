@@ -69,3 +69,23 @@ def test_mix(spark):
 
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id bigint, text string, source string")).collect() == []
+
+
+def test_names_and_repeats(spark, clashing):
+    rows = [(1, "one two three"), (1, "one two three"), (1, "one two three"), (None, "a b c d"), (None, "a b"), (2, None), (3, "word " * 50), (3, "word " * 50)]
+    df = clashing(rows).withColumnRenamed("id", "source")
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows) and all(0 <= r.taken <= 2 * r.size for r in got)
+    assert all(r.words == "words" and r.shard == "shard" and r.quota == "quota" for r in got)
+    stage = mixing.keep_mixed(spark, df, "")
+    assert stage.columns == df.columns
+    assert all(r.score == "score" and r.size == "size" and r.target == "target" for r in stage.collect())
+    assert mixing.keep_mixed(spark, df.where("false"), "").collect() == []
+
+
+def test_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_DOCS", 20)
+    df = spark.createDataFrame([(i, "w " * (i % 37), "ab"[i % 5 == 0]) for i in range(2000)], "doc_id bigint, text string, source string")
+    got = mixing.mix(df).groupBy("source").agg({"taken": "sum", "target": "max", "source_size": "max"}).collect()
+    for r in got:
+        assert abs(r["sum(taken)"] - r["max(target)"]) <= 100 * 2 * mixing.BLOCK_WORDS and r["sum(taken)"] <= 2 * r["max(source_size)"]
