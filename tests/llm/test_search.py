@@ -14,7 +14,7 @@ def test_curve_visits_neighbours():
 
 
 def brute(rows, size, k=10):
-    good = [(i, np.array([np.float32(x) for x in v], float)) for i, v in rows if i is not None and v is not None and len(v) == size and None not in v and np.isfinite(v).all() and any(v)]
+    good = [(i, np.array([np.float32(x) for x in [*v, *[0] * (size - len(v))]], float)) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all() and any(v)]
     ids, points = np.array([i for i, _ in good]), np.array([v for _, v in good])
     out = {}
     for i, v in good:
@@ -53,11 +53,20 @@ def test_few_and_none(spark):
 
 
 def test_recall(spark):
-    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet("/root/testdata/check_s/embeddings.parquet").collect()]
     assert run(spark, rows, 64) >= 0.9
 
 
-def test_recall_in_a_tight_cluster(spark):
+def test_recall_of_windows_that_are_a_small_part(spark, monkeypatch):
+    """Vectors near a surface of few dimensions: ranges of 64 ranks of 6,000."""
+    monkeypatch.setattr(search, "RANGE_ROWS", 64)
+    rng = np.random.default_rng(2)
+    points = np.tanh(rng.normal(size=(6000, 4)) @ rng.normal(size=(4, 64))) + 1e-3 * rng.normal(size=(6000, 64))
+    assert run(spark, [(i, v.tolist()) for i, v in enumerate(points)], 64) >= 0.9
+
+
+def test_recall_in_a_tight_cluster(spark, monkeypatch):
+    monkeypatch.setattr(search, "RANGE_ROWS", 256)
     rng = np.random.default_rng(4)
     points = rng.normal(size=(6000, 64))
     points /= np.linalg.norm(points, axis=1)[:, None]
