@@ -1,7 +1,7 @@
 """Main text of web pages: a page becomes its sequence of text blocks, and a recurrent labeller keeps the article's.
 
-Each block has a vector of its tag path (names, classes and ids of the elements around it, hashed), a vector of its words
-(signs from each word's hash, averaged), and a few shares. A bidirectional LSTM in numpy reads the whole sequence, so
+Each block has a vector of its tag path (names, classes and ids of the elements around it, hashed and added up; logs of
+the sums), a vector of its words (signs from each word's hash, averaged), and a few shares. A bidirectional LSTM in numpy reads the whole sequence, so
 that a block is judged by what stands before and behind it. It is trained on pages that this module makes up.
 """
 
@@ -23,11 +23,14 @@ from pyspark.sql.types import StructType
 
 from .common import bytes_of, table, words_of
 
-PATH_SIZE, WORD_SIZE, SHARES = 96, 16, 4
-HIDDEN, PAGES, ROUNDS, SEED = 16, 320, 8, 11
+#: Places of hashed names and of hashed words in a block's vector, and of its shares.
+NAME_SIZE, WORD_SIZE, SHARES = 128, 16, 4
+HIDDEN, PAGES, ROUNDS, SEED = 16, 900, 8, 11
+#: Step of the fit in its first and last round.
+RATES = 0.02, 0.002
 #: Pages labelled together, and their blocks.
 BATCH_PAGES, BATCH_BLOCKS = 256, 1 << 14
-CACHED_PATHS = 1 << 14
+CACHED_NAMES = 1 << 14
 
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,21 +43,52 @@ _tokens = re.compile(r"[a-z]+").findall
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: np.ndarray
     text: str
     linked: int
 
 
+#: Places of the path vector: a tag around the block, the tag that it stands in, the path's length, hashed names.
+TAG_PLACE = {t: i for i, t in enumerate(sorted(BLOCK))}
+DEPTHS = 9
+PATH_SIZE = 2 * len(BLOCK) + DEPTHS + NAME_SIZE
+
+
+def _name_mark(name: str) -> tuple[int, int]:
+    h = zlib.crc32(name.encode())
+    return PATH_SIZE - NAME_SIZE + h % NAME_SIZE, 1 if h >> 31 else -1
+
+
+@lru_cache(maxsize=CACHED_NAMES)
+def marks_of(tag: str, names: str) -> tuple[tuple[int, int], ...]:
+    """Places and signs that an element adds to the path vector of all blocks within."""
+    return (TAG_PLACE[tag], 1), *(_name_mark(t) for t in _tokens(names.lower()))
+
+
+def own_marks(tags: list[str]) -> Iterator[int]:
+    """Places that only the block itself adds to."""
+    if tags:
+        yield len(BLOCK) + TAG_PLACE[tags[-1]]
+    yield 2 * len(BLOCK) + min(len(tags), DEPTHS - 1)
+
+
 class BlockReader(HTMLParser):
-    """Blocks of a page in order. Tags may be unclosed, crossed or unknown; character references are decoded once."""
+    """Blocks of a page in order. Tags may be unclosed, crossed or unknown; character references are decoded once.
+
+    An open element is found by its name and closed once, and the path vector is kept up to date, so work follows the
+    page's length however deep its elements lie.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, str]] = []
+        self.stack: list[tuple[str, tuple]] = []
+        self.open: dict[str, list[int]] = {}
+        self.block_tags: list[str] = []
+        self.vector = [0] * PATH_SIZE
         self.parts: list[str] = []
         self.linked = self.links = self.hidden = 0
-        self.path: tuple[str, ...] = ()
+        self.path = np.zeros(PATH_SIZE)
 
     def flush(self) -> None:
         if self.parts:
@@ -64,25 +98,31 @@ class BlockReader(HTMLParser):
             self.parts, self.linked = [], 0
 
     def _pop_to(self, depth: int) -> None:
-        for tag, _ in self.stack[depth:]:
+        while len(self.stack) > depth:
+            tag, marks = self.stack.pop()
+            self.open[tag].pop()
             self.links -= tag == "a"
             self.hidden -= tag in HIDDEN_TAGS
-        del self.stack[depth:]
+            if tag in BLOCK:
+                self.block_tags.pop()
+                for at, sign in marks:
+                    self.vector[at] -= sign
+
+    def _last(self, tags) -> int:
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=-1)
 
     def _close(self, tags: set[str], until: set[str]) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] in tags:
-                self._pop_to(i)
-                return
-            if self.stack[i][0] in until:
-                return
+        at = self._last(tags)
+        if at > self._last(until):
+            self._pop_to(at)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCK:
             self.flush()
             if tag == "body":
                 self._close({"head"}, set())
-            self._close({"p"}, BLOCK - {"p"})
+            if self.block_tags and self.block_tags[-1] == "p":
+                self._pop_to(self.open["p"][-1])
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         if tag == "br":
@@ -91,8 +131,14 @@ class BlockReader(HTMLParser):
             return
         if tag in VOID:
             return
-        names = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-        self.stack.append((tag, names))
+        marks: tuple = ()
+        if tag in BLOCK:
+            marks = marks_of(tag, " ".join(v for k, v in attrs if k in ("class", "id", "role") and v))
+            self.block_tags.append(tag)
+            for at, sign in marks:
+                self.vector[at] += sign
+        self.open.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, marks))
         self.links += tag == "a"
         self.hidden += tag in HIDDEN_TAGS
 
@@ -102,16 +148,16 @@ class BlockReader(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self._pop_to(i)
-                return
+        if self.open.get(tag):
+            self._pop_to(self.open[tag][-1])
 
     def handle_data(self, data: str) -> None:
         if self.hidden:
             return
         if not self.parts:
-            self.path = tuple(f"{t} {n}" if n else t for t, n in self.stack if t in BLOCK)
+            self.path = np.array(self.vector, np.float32)
+            for at in own_marks(self.block_tags):
+                self.path[at] += 1
         self.parts.append(data)
         if self.links:
             self.linked += len(data)
@@ -125,21 +171,6 @@ def blocks_of(html: str) -> list[Block]:
     return reader.blocks
 
 
-@lru_cache(maxsize=CACHED_PATHS)
-def path_vector(path: tuple[str, ...]) -> np.ndarray:
-    out = np.zeros(PATH_SIZE, np.float32)
-    inner = path[-1].split(" ", 1)[0] if path else ""
-    marks = {f"at {inner}", f"depth {min(len(path), 8)}"}
-    for element in path:
-        tag, *names = element.lower().split(" ")
-        marks.add(f"in {tag}")
-        marks.update(f"name {t}" for n in names for t in _tokens(n))
-    for mark in marks:
-        h = zlib.crc32(mark.encode())
-        out[h % PATH_SIZE] += 1 if h >> 31 else -1
-    return out
-
-
 def features(blocks: list[Block]) -> np.ndarray:
     """One row a block."""
     if not blocks:
@@ -153,7 +184,8 @@ def features(blocks: list[Block]) -> np.ndarray:
     linked = np.array([b.linked for b in blocks])
     stops = np.array([b.text.count(".") + b.text.count(",") for b in blocks])
     shares = np.stack([np.log1p(chars) / 6, np.log1p(count) / 4, np.minimum(linked / chars, 1), np.minimum(stops / np.maximum(count, 1), 1)], 1)
-    return np.concatenate([np.stack([path_vector(b.path) for b in blocks]), signs / np.maximum(count, 1)[:, None], shares], 1).astype(np.float32)
+    paths = np.stack([b.path for b in blocks])
+    return np.concatenate([np.sign(paths) * np.log1p(np.abs(paths)), signs / np.maximum(count, 1)[:, None], shares], 1).astype(np.float32)
 
 
 @dataclass
@@ -264,40 +296,66 @@ class PageMaker:
         return self.MARK + self.text(low, high)
 
     def menu(self) -> str:
-        items = "".join(f'<li><a href="/x">{self.text(1, 3)}</a></li>' for _ in range(self.r.randint(2, 12)))
-        return f"<ul>{items}</ul>"
+        links = [f'<a href="/x">{self.text(1, 3)}</a>' for _ in range(self.r.randint(2, 12))]
+        return self.r.choice(["<ul><li>" + "</li><li>".join(links) + "</li></ul>"] * 3 + [" | ".join(links), "<p>" + "</p><p>".join(links) + "</p>", "<div>" + "</div><div>".join(links) + "</div>"])
+
+    def some(self, low: int, high: int) -> str:
+        """Text within an element, in any of the usual ways."""
+        text = self.text(low, high)
+        return self.r.choice([text, f"<p>{text}</p>", f"<p>{text}</p>", f"<div>{text}</div>", f"<div><p>{text}</p></div>", f"<p>{text}<br>{self.text(1, 8)}</p>", f"<p>{text}</p><p>{self.text(1, 12)}</p>", f"<span>{text}</span>"])
 
     def boilerplate(self) -> str:
-        r, t = self.r, self.text
-        link = f'<a href="#">{t(1, 4)}</a>'
+        r, t = self.r, self.some
+        link = f'<a href="#">{self.text(1, 4)}</a>'
+        h = r.choice(["<h2>{}</h2>", "<h3>{}</h3>", "<h4>{}</h4>"]).format(self.text(1, 5))
         return r.choice(
             [
                 f"<nav>{self.menu()}</nav>",
                 f'<div class="{r.choice(["menu", "navbar", "nav", "breadcrumb", "topnav"])}">{self.menu()}</div>',
-                f"<header><h1>{t(1, 5)}</h1><p>{t(2, 8)}</p></header>",
-                f'<div class="{r.choice(["header", "banner", "site-header"])}"><p>{t(1, 8)}</p>{link}</div>',
-                f"<footer>&copy; {t(1, 10)} &middot; {t(2, 12)}</footer>",
-                f'<div id="{r.choice(["footer", "copyright", "legal"])}"><p>{t(3, 30)}</p>{link}</div>',
+                f"<header>{r.choice([f'<h1>{self.text(1, 5)}</h1>', ''])}{t(2, 8)}{r.choice(['', self.menu()])}</header>",
+                f'<div class="{r.choice(["header", "banner", "site-header"])}">{t(1, 8)}{link}</div>',
+                f"<footer>{r.choice(['&copy; ', ''])}{t(1, 14)}{r.choice(['', link, self.menu()])}</footer>",
+                f'<div {r.choice(["id", "class"])}="{r.choice(["footer", "copyright", "legal", "site-footer"])}">{t(3, 30)}{link}</div>',
                 f'<div class="{r.choice(["ad", "ads", "advert", "sponsored", "promo", "ad banner"])}">{t(2, 40)}</div>',
-                f"<aside><h3>{t(1, 4)}</h3>{self.menu()}<p>{t(4, 40)}</p></aside>",
-                f'<div class="{r.choice(["sidebar", "related", "widget", "share social"])}"><h3>{t(1, 5)}</h3>{self.menu()}</div>',
-                f'<div class="{r.choice(["cookie notice", "cookie-banner", "consent", "notice", "popup"])}"><p>{t(5, 40)}</p></div>',
-                f'<form class="{r.choice(["newsletter", "search", "login", "subscribe"])}"><label>{t(1, 6)}</label><p>{t(2, 15)}</p><input name="x"></form>',
+                f"<aside>{h}{r.choice([self.menu(), ''])}{t(4, 40)}</aside>",
+                f'<div class="{r.choice(["sidebar", "related", "widget", "share social"])}">{h}{r.choice([self.menu(), t(3, 30)])}</div>',
+                f'<div class="{r.choice(["cookie notice", "cookie-banner", "consent", "notice", "popup"])}">{t(5, 40)}</div>',
+                f'<form class="{r.choice(["newsletter", "search", "login", "subscribe"])}"><label>{self.text(1, 6)}</label>{t(2, 15)}<input name="x"></form>',
                 self.comments(),
             ]
         )
 
     def comments(self) -> str:
         name = self.r.choice(['section class="comments"', 'div id="comments"', 'div class="comment-list"', 'ol class="commentlist"', 'div class="replies discussion"'])
-        inner = "".join(f'<div class="{self.r.choice(["comment", "reply"])}"><p>{self.text(3, 60)}</p></div>' for _ in range(self.r.randint(1, 6)))
+        inner = "".join(f'<div class="{self.r.choice(["comment", "reply"])}">{self.some(3, 60)}</div>' for _ in range(self.r.randint(1, 6)))
         return f"<{name}><h3>{self.text(1, 3)}</h3>{inner}</{name.split()[0]}>"
 
+    def name(self) -> str:
+        """A class or id that says nothing."""
+        r = self.r
+        return "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 9))) + r.choice(["", "", f"-{r.randint(1, 999)}", f" {r.choice(self.words)}"])
+
+    def wrapped(self, inner: str) -> str:
+        r = self.r
+        kind = r.random()
+        if kind < 0.35:
+            open_, close = r.choice([("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"), ('<div class="content">', "</div>"), ('<div id="content"><div class="post">', "</div></div>"), ('<div class="article-body">', "</div>"), ('<section class="entry">', "</section>"), ('<div class="main">', "</div>")])
+        elif kind < 0.6:
+            open_, close = "", ""
+        elif kind < 0.72:
+            open_, close = "<div>", "</div>"
+        else:
+            open_, close = r.choice([(f'<div class="{self.name()}">', "</div>"), (f'<div id="{self.name()}">', "</div>"), (f'<section id="{self.name()}">', "</section>"), (f'<table><tr><td class="{self.name()}">', "</td></tr></table>"), (f'<div class="{r.choice(["story", "post", "text", "body"])}">', "</div>")])
+        return open_ + inner + (close if r.random() < 0.95 else "")
+
     def article(self) -> str:
-        r, out = self.r, [f"<h1>{self.good(2, 14)}</h1>"] if self.r.random() < 0.9 else []
-        for _ in range(r.randint(1, 16)):
+        r, out = self.r, [f"<{h}>{self.good(1, 14)}</{h}>" for h in [self.r.choice(["h1", "h1", "h1", "h2"])] if self.r.random() < 0.9]
+        short = r.random() < 0.25
+        for _ in range(r.randint(1, 3) if short else r.randint(1, 16)):
             kind = r.random()
             if kind < 0.72:
-                out.append(f"<p>{self.good(1, 140)}</p>" if r.random() < 0.85 else f"<p><b>{self.good(2, 30)}<br>")
+                words = r.choice([(1, 3), (3, 20)]) if short else r.choice([(1, 4), (4, 40), (10, 140)])
+                out.append(f"<p>{self.good(*words)}" + ("</p>" if r.random() < 0.7 else "") if r.random() < 0.85 else f"<p><b>{self.good(2, 30)}<br>")
             elif kind < 0.80:
                 out.append(f"<h2>{self.good(1, 8)}</h2>")
             elif kind < 0.85:
@@ -312,12 +370,15 @@ class PageMaker:
                 out.append(r.choice([f'<div class="ad">{self.text(2, 40)}</div>', f"<aside><p>{self.text(3, 40)}</p></aside>", f'<div class="share">{self.menu()}</div>', f"<form><p>{self.text(2, 12)}</p></form>"]))
         if r.random() < 0.1:
             out.append(self.comments())
-        open_, close = r.choice([("<article>", "</article>")] * 4 + [("<main>", "</main>"), ("<main><article>", "</article></main>"), ('<div class="content">', "</div>"), ('<div id="content"><div class="post">', "</div></div>"), ('<div class="article-body">', "</div>"), ('<section class="entry">', "</section>"), ('<div class="main">', "</div>")])
-        return open_ + "".join(out) + (close if r.random() < 0.95 else "")
+        return self.wrapped("".join(out))
 
     def page(self) -> str:
-        parts = [self.boilerplate() for _ in range(self.r.randint(0, 4))] + ([self.article()] if self.r.random() < 0.97 else []) + [self.boilerplate() for _ in range(self.r.randint(0, 4))]
-        return f"<html><head><title>{self.text(2, 6)}</title></head><body>{''.join(parts)}</body></html>"
+        r = self.r
+        parts = [self.boilerplate() for _ in range(r.randint(0, 4))] + ([self.article()] if r.random() < 0.97 else []) + [self.boilerplate() for _ in range(r.randint(0, 4))]
+        inner = "".join(parts)
+        for _ in range(r.choice([0, 0, 0, 1, 2])):
+            inner = f'<div {r.choice(["id", "class"])}="{r.choice([self.name(), "wrapper", "container", "page"])}">{inner}</div>'
+        return f"<html><head><title>{self.text(2, 6)}</title></head><body>{inner}</body></html>"
 
     def labelled(self) -> tuple[np.ndarray, np.ndarray]:
         blocks = blocks_of(self.page())
@@ -336,7 +397,7 @@ def trained(pages: int = PAGES, rounds: int = ROUNDS, seed: int = SEED) -> Label
     first = {k: np.zeros_like(v) for k, v in model.weights.items()}
     second = {k: np.zeros_like(v) for k, v in model.weights.items()}
     rng, n = np.random.default_rng(seed), 0
-    for _ in range(rounds):
+    for rate in np.geomspace(*RATES, rounds):
         order = rng.permutation(len(data))
         for at in range(0, len(order), 16):
             batch = [data[i] for i in order[at : at + 16]]
@@ -347,7 +408,7 @@ def trained(pages: int = PAGES, rounds: int = ROUNDS, seed: int = SEED) -> Label
                 g = np.clip(g, -1, 1)
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.01 * (g * g - second[k])
-                model.weights[k] = model.weights[k] - (0.02 * (first[k] / (1 - 0.9**n)) / (np.sqrt(second[k] / (1 - 0.99**n)) + 1e-8)).astype(np.float32)
+                model.weights[k] = model.weights[k] - (rate * (first[k] / (1 - 0.9**n)) / (np.sqrt(second[k] / (1 - 0.99**n)) + 1e-8)).astype(np.float32)
     return model
 
 
@@ -374,7 +435,8 @@ def extract_text(pages: DataFrame, html_col: str = "html", out: str = "main_text
     """pages with the article's text added (a column of that name is replaced). Null and empty pages have an empty text.
 
     White space inside a block becomes one space, blocks stand in page order with a space between. No shuffle; a
-    page's work and memory follow its own length.
+    page's work and memory follow its own length, however deep its elements lie. Repeated rows give the same text again;
+    an empty table gives no rows. Other columns stay as they are, whatever their names.
     """
     pages = pages.drop(out)
     schema = StructType.fromJson(pages.schema.jsonValue()).add(out, "string")

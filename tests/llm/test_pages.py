@@ -1,6 +1,9 @@
 """The block reader, the labeller's gradients, and held-out pages."""
 
+import time
+
 import numpy as np
+import pytest
 
 from palimpsest.llm import page_blocks as pages
 
@@ -57,3 +60,36 @@ def test_table(spark):
     rows = [(1, html, "q"), (2, None, "q"), (3, "", "q"), (4, "<p", "q"), (5, html, "q")]
     got = {r.page_id: r.main_text for r in pages.extract_text(spark.createDataFrame(rows, "page_id int, html string, main_text string")).collect()}
     assert got[1] == got[5] == "Title One two." and got[2] == got[3] == ""
+
+
+MENU = '<nav><ul><li><a href="/">Home</a></li><li><a href="/a">About us</a></li><li><a href="/n">News</a></li></ul></nav>'
+FOOT = "<footer><p>&copy; 2020 The Owners. All rights reserved.</p></footer>"
+BODIES = {
+    "long": ["The river in winter", *(f"Paragraph {k} tells, at some length, what was seen by the river that winter, and who saw it; nobody there had known a colder one." for k in "abcde")],
+    "short": ["A short note", "It rained today.", "Tomorrow it may not."],
+    "least": ["Notice of closure", "The library is closed on Monday."],
+}
+WRAPPERS = [("", ""), ("<div>", "</div>"), ('<div class="story">', "</div>"), ('<div id="post-12">', "</div>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<table><tr><td>", "</td></tr></table>"), ('<div class="entry-content">', "</div>"), ('<div class="text-body">', "</div>"), ('<section class="qx7">', "</section>")]
+
+
+@pytest.mark.parametrize("body", BODIES)
+@pytest.mark.parametrize("wrapper", WRAPPERS, ids=lambda w: w[0] or "bare")
+def test_ordinary_pages(body, wrapper):
+    head, *rest = BODIES[body]
+    inner = f"<h1>{head}</h1>" + "".join(f"<p>{x}</p>" for x in rest)
+    html = f"<html><head><title>T</title></head><body>{MENU}{wrapper[0]}{inner}{wrapper[1]}{FOOT}</body></html>"
+    assert pages.main_texts([html], pages.trained()) == [" ".join(BODIES[body])]
+
+
+def test_deep_and_long_pages():
+    deep = "<div><p>x" * 20_000
+    began = time.time()
+    assert len(pages.blocks_of(deep)) == 20_000
+    assert len(pages.blocks_of("<b><p>y</i>" * 20_000)) == 20_000
+    assert time.time() - began < 20
+    long = "<article>" + "<p>some words of this page</p>" * 3000 + "</article>"
+    assert pages.main_texts([long], pages.trained())[0].count("words") == 3000
+
+
+def test_empty_table(spark):
+    assert pages.extract_text(spark.createDataFrame([], "page_id int, html string")).collect() == []
