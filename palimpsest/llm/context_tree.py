@@ -6,10 +6,11 @@ of its children's weighted probabilities count half each; so a prediction mixes
 the weight that training gave it. A text ends with a byte that no text has, and contexts before its first byte are
 made of that byte.
 
-How it is spread: counts of (DEPTH + 1)-byte strings are summed in each task and then in shards; a shard holds whole
-subtrees below two context bytes. The tops of the trees, two levels with at most 256 * 255 + 255 nodes, are finished on
+How it is spread: counts of (DEPTH + 1)-byte strings are summed in each task, then by hash of the whole string, which no
+frequent context can crowd, and dealt to shards; a shard holds whole subtrees below two context bytes. The tops of the trees, two levels with at most 256 * 255 + 255 nodes, are finished on
 the driver and sent to all. Texts lie in blocks. A block asks the shards for each string it has, once, and scores its
-texts by the answers, so that nothing that grows with the corpus is sent to every task.
+texts by the answers, so that nothing that grows with the corpus is sent to every task. A shard that very many blocks
+ask for much stands in several copies, each for some of the blocks.
 """
 
 from __future__ import annotations
@@ -32,8 +33,11 @@ END = 255
 END_TOKEN = 0
 #: Strings summed up before they are merged.
 MERGE_AT = 2 << 20
+#: Bytes that one copy of a shard is asked for, at most about.
+ASK_BYTES = 64 << 20
 GRAMS, WORDS = 0, 1
 _U8 = np.uint64(8)
+PARTS = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 ROWS = pa.schema([("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
@@ -123,8 +127,18 @@ def _word_keys(raw: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate([np.where(h == END_TOKEN, np.uint64(1), h), np.full(n, END_TOKEN, np.uint64)]), np.concatenate([owner, np.arange(n)])
 
 
-def _count(shards: int):
-    """Counts of a task's training texts, a row for each kind and shard."""
+def _dealt(kind: int, keys: np.ndarray, counts: np.ndarray, where: np.ndarray, schema: pa.Schema) -> pa.Table:
+    """A row for each place that `where` names."""
+    order = np.argsort(where, kind="stable")
+    keys, counts, where = keys[order], counts[order], where[order]
+    first, _ = _groups(where)
+    edges = [*first.tolist(), len(where)]
+    bounds = list(zip(edges[:-1], edges[1:], strict=True))
+    return pa.table([[kind] * len(bounds), where[first], [pack(keys[a:b], key_bytes(kind)) for a, b in bounds], [pack(counts[a:b], 8) for a, b in bounds]], schema=schema)
+
+
+def _count(parts: int):
+    """Counts of a task's training texts, a row for each kind and part of all strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {GRAMS: Summed(), WORDS: Summed()}
@@ -134,17 +148,30 @@ def _count(shards: int):
                 sums[WORDS].add(_word_keys(raw, places)[0])
         for kind, summed in sums.items():
             keys, counts = summed.all()
-            where = shard_of(kind, keys, shards)
-            rows = [(s, where == s) for s in np.unique(where).tolist()]
-            yield pa.RecordBatch.from_pydict({"kind": [kind] * len(rows), "shard": [s for s, _ in rows], "keys": [pack(keys[m], key_bytes(kind)) for _, m in rows], "counts": [pack(counts[m], 8) for _, m in rows]}, schema=ROWS)
+            yield from _dealt(kind, keys, counts, (mix(keys + np.uint64(7)) % np.uint64(parts)).astype(np.int32), PARTS).to_batches()
 
     return run
 
 
-def _merge(key, group):
+def _summed(group, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    return merged([unpack(k, key_bytes(kind)) for k in group.column("keys").to_pylist()], [unpack(c, 8, "<i8") for c in group.column("counts").to_pylist()])
+
+
+def _merge(shards: int):
+    """The sums of one part, a row for each shard."""
+
+    def run(key, group):
+        kind = key[0].as_py()
+        keys, counts = _summed(group, kind)
+        return _dealt(kind, keys, counts, shard_of(kind, keys, shards), ROWS)
+
+    return run
+
+
+def _gather(key, group):
     """One shard's counts."""
     kind = key[0].as_py()
-    keys, counts = merged([unpack(k, key_bytes(kind)) for k in group.column("keys").to_pylist()], [unpack(c, 8, "<i8") for c in group.column("counts").to_pylist()])
+    keys, counts = _summed(group, kind)
     return pa.table({"kind": [kind], "shard": [key[1].as_py()], "keys": [pack(keys, key_bytes(kind))], "counts": [pack(counts, 8)], "distinct": [len(keys)], "total": [int(counts.sum())]}, schema=MODEL)
 
 
@@ -256,11 +283,11 @@ class Tops:
         return total
 
 
-def _ask(shards: int):
-    """The strings and words of a block, each once, a row for each kind and shard."""
+def _ask(shards: int, copies: dict[int, int]):
+    """The strings and words of a block, each once, a row for each kind and shard; of a shard with copies, to one of them."""
 
     def run(key, group):
-        sums = {GRAMS: Summed(), WORDS: Summed()}
+        block, sums = key[0].as_py(), {GRAMS: Summed(), WORDS: Summed()}
         for _, _, raw, places in _texts(group):
             sums[GRAMS].add(grams(raw, places)[0])
             sums[WORDS].add(_word_keys(raw, places)[0])
@@ -268,13 +295,13 @@ def _ask(shards: int):
         for kind, summed in sums.items():
             keys, _ = summed.all()
             where = shard_of(kind, keys, shards)
-            rows += [(key[0].as_py(), kind, s, pack(keys[where == s], key_bytes(kind))) for s in np.unique(where).tolist()]
+            rows += [(block, kind, s, block % copies.get(s, 1) if kind == GRAMS else 0, pack(keys[where == s], key_bytes(kind))) for s in np.unique(where).tolist()]
         return pa.table([list(c) for c in zip(*rows, strict=True)], schema=ASKED) if rows else ASKED.empty_table()
 
     return run
 
 
-ASKED = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary())])
+ASKED = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("copy", pa.int64()), ("keys", pa.binary())])
 ANSWERED = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("values", pa.binary())])
 
 
@@ -342,7 +369,8 @@ def ctw_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     case. score is the model's log10 probability of the whole text with its end, to single precision for each byte, and
     bits a byte are -score / log10(2) / (n_bytes + 1). base_score is the add-0.1 unigram score of words and end.
     Null and empty texts are an end alone. A null id counts as held out. Repeated rows train and score as often as they
-    stand. Without a training text, each byte costs 8 bits. An empty table gives no rows.
+    stand. Without a training text, each byte costs 8 bits. A very long text is scored in the task of its block, in memory
+    that follows its length. An empty table gives no rows. Only the two columns are read, so others may have any names.
     """
     spark = docs.sparkSession
     held_out = F.coalesce(crc_mod(id_col, 10) == 0, F.lit(True))
@@ -350,15 +378,25 @@ def ctw_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     shards = max(16, 4 * blocks)
-    counted = texts.where("NOT held_out").mapInArrow(_count(shards), "kind int, shard int, keys binary, counts binary")
-    model = cut(counted.groupBy("kind", "shard").applyInArrow(_merge, "kind int, shard int, keys binary, counts binary, distinct bigint, total bigint"))
+    schema = "keys binary, counts binary"
+    counted = texts.where("NOT held_out").mapInArrow(_count(shards), f"kind int, part int, {schema}")
+    dealt = counted.groupBy("kind", "part").applyInArrow(_merge(shards), f"kind int, shard int, {schema}")
+    model = cut(dealt.groupBy("kind", "shard").applyInArrow(_gather, f"kind int, shard int, {schema}, distinct bigint, total bigint"))
     distinct, total = model.where(F.col("kind") == WORDS).agg(F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
     rows = model.where(F.col("kind") == GRAMS).mapInArrow(top_rows, "byte int, node int, zeros double, ones double, weighted double")
     tops = rows.groupBy("byte", "node").agg(F.sum("zeros"), F.sum("ones"), F.sum("weighted")).collect()  # at most 256 * 255 rows
     shared = spark.sparkContext.broadcast(Tops([tuple(r) for r in tops]))
-    placed = texts.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).repartition(blocks, "block")
-    asked = placed.groupBy("block").applyInArrow(_ask(shards), "block bigint, kind int, shard int, keys binary")
-    answers = asked.groupBy("kind", "shard").cogroup(model.groupBy("kind", "shard")).applyInArrow(_answer(shared), "block bigint, kind int, keys binary, values binary")
+    placed = texts.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks))).repartition(blocks, "block")
+    # a block asks a shard for its strings at most, and for as many as its share of all strings lets expect
+    strings = model.where(F.col("kind") == GRAMS)
+    everything = strings.agg(F.sum("total")).first()[0] or 1
+    asks = F.least(F.col("distinct"), F.lit(block_bytes) * F.col("total") / F.lit(everything)) * blocks * key_bytes(GRAMS)
+    hot = strings.select("shard", F.ceil(asks / ASK_BYTES).cast("long").alias("copies")).where("copies > 1")  # at most 65,536
+    copies = dict(map(tuple, hot.collect()))
+    asked = placed.groupBy("block").applyInArrow(_ask(shards, copies), "block bigint, kind int, shard int, copy bigint, keys binary")
+    several = F.when(F.col("kind") == GRAMS, F.col("copies"))
+    copied = model.join(F.broadcast(hot), "shard", "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(several, F.lit(1)) - 1))).drop("copies")
+    answers = asked.groupBy("kind", "shard", "copy").cogroup(copied.groupBy("kind", "shard", "copy")).applyInArrow(_answer(shared), "block bigint, kind int, keys binary, values binary")
     schema = "id bigint, held_out boolean, n_bytes bigint, n_tokens bigint, n_known bigint, score double, base_score double, train_tokens bigint"
     return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(total, distinct), schema)
 

@@ -90,3 +90,16 @@ def test_no_training_text(spark):
 
 def test_empty_table(spark):
     assert context_tree.ctw_scores(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def test_patterned_words_and_long_texts(spark):
+    """Words that a polynomial hash modulo 2**64 confuses, and a text of many blocks' length."""
+    one, other = ("".join("ab"[(i.bit_count() + k) % 2] for i in range(1024)) for k in (0, 1))
+    held_out = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 10 == 0)
+    trained = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 10 != 0)
+    check(spark, [(trained, one), (held_out, other), (trained + 1000, "long words " * 900)])
+
+
+def test_shards_in_copies(spark, monkeypatch):
+    monkeypatch.setattr(context_tree, "ASK_BYTES", 300)
+    check(spark, [(i, f"the cat {i} and the dog {i * 7} sat there " * 6) for i in range(40)])
