@@ -244,10 +244,12 @@ def _cluster_links(met: DataFrame, shared: DataFrame, threshold: int) -> DataFra
     placed = members.join(dealt, "cluster")
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["cluster", "i", "j", "few", "id", "n", "component", "grams"]
+    # a key of its own for each pair of blocks, else all of a cluster would stay in the task that its key is dealt to
+    pair = F.concat_ws(":", "cluster", "i", "j").alias("pair")
+    columns = [pair, "few", "id", "n", "component", "grams"]
     few = placed.where("component <> largest").withColumn("few", F.lit(True)).withColumn("i", block("rows")).withColumn("j", each("columns"))
     every = placed.withColumn("few", F.lit(False)).withColumn("j", block("columns")).withColumn("i", each("rows"))
-    return few.select(*columns).unionByName(every.select(*columns)).groupBy("cluster", "i", "j").applyInArrow(_block_links(threshold), "a bigint, b bigint")
+    return few.select(*columns).unionByName(every.select(*columns)).groupBy("pair").applyInArrow(_block_links(threshold), "a bigint, b bigint")
 
 
 def ngram_links(docs: DataFrame, sets: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
