@@ -28,6 +28,8 @@ ORDERINGS, DIMENSIONS, BITS, SEED = 16, 8, 5, 7
 TIE_BITS = 22
 #: Vectors in a range, and ranges on each side of its own that a query meets.
 RANGE_ROWS, REACH = 1536, 1
+#: Vectors beyond the nearest k of a range that are ranked exactly too.
+SPARE = 8
 #: Keys in a partition while they are ranked, about.
 SORT_ROWS = 1 << 20
 #: Vectors that the grid is fitted on, at most, and the quantiles that are kept of a dimension.
@@ -167,6 +169,13 @@ class Points:
         return out
 
 
+def score(a: np.ndarray, b: np.ndarray) -> float:
+    """Euclidean distance, squares added up from the first component to the last."""
+    size = max(len(a), len(b))
+    difference = cut_to([a], size)[0] - cut_to([b], size)[0]
+    return float(np.sqrt(np.square(difference).cumsum()[-1]))
+
+
 def _nearest(kind: str, k: int):
     """The k nearest vectors of a range for each query that meets it."""
 
@@ -174,11 +183,15 @@ def _nearest(kind: str, k: int):
         out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         if vectors.num_rows and queries.num_rows:
             vectors = vectors.sort_by("id")
-            ids, points = np.asarray(vectors.column("id"), np.int64), Points(_vectors(vectors.column("vector"), kind))
+            ids, rows = np.asarray(vectors.column("id"), np.int64), _vectors(vectors.column("vector"), kind)
+            points = Points(rows)
             for q, v in zip(np.asarray(queries.column("id"), np.int64), _vectors(queries.column("vector"), kind), strict=True):
                 distance = points.distances(v)
-                least = np.argsort(distance, kind="stable")[:k] if len(ids) <= k else _first(distance, k)
-                for column, values in zip(out, (np.full(len(least), q), ids[least], distance[least]), strict=True):
+                # a few more, in whose order the rounding of another order of sums may have a part
+                least = np.arange(len(ids)) if len(ids) <= k + SPARE else _first(distance, k + SPARE)
+                exact = np.array([score(rows[i], v) for i in least.tolist()])
+                best = np.lexsort((ids[least], exact))[:k]
+                for column, values in zip(out, (np.full(len(best), q), ids[least][best], exact[best]), strict=True):
                     column.append(values)
         return pa.table([pa.array(np.concatenate(c)) for c in out], names=["query", "id", "score"])
 
@@ -263,3 +276,13 @@ def hilbert_search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: st
 
 def op8_hilbert_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(100)) == 0)
+
+
+#: Brute force: the query's rows as long as its windows hold all vectors, up to 2 * RANGE_ROWS of them.
+OP8_SQL = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+ AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.e, c.e), lambda x: (x[1] - x[2]) * (x[1] - x[2])), lambda a, b: a + b)) AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= 10
+"""

@@ -17,7 +17,9 @@ QUERIES = {
     "op10_language_id": language_id.op10_language_id,
 }
 ORACLES = {
+    "op2_run_length_index": run_length_index.OP2_SQL,
     "op4_ngram_join": ngram_join.OP4_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op8_hilbert_search": hilbert_search.OP8_SQL,
     "op9_preference_pairs": preference.OP9_SQL,
 }

@@ -396,3 +396,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def op2_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = remove_repeats(table(spark, sf_dir, "documents"))
     return left.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+OP2_SQL = """
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, p, md5(b[p + 1:p + 400]) AS k FROM (SELECT r, b, unnest(range(0, octet_length(b) - 399)) AS p FROM t)),
+m AS (SELECT r, p FROM w SEMI JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) USING (k)),
+j AS (SELECT r, p, sum(s) OVER (PARTITION BY r ORDER BY p) AS run FROM (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 400 THEN 0 ELSE 1 END AS s FROM m)),
+spans AS (SELECT r, min(p) AS a, max(p) + 400 AS z FROM j GROUP BY r, run),
+pieces AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+kept AS (SELECT t.r, count(*) AS n_spans, sum(z - a) AS gone, string_agg(hex(b[before + 1:a]), '' ORDER BY a) || hex(any_value(b)[max(z) + 1:]) AS h FROM pieces JOIN t USING (r) GROUP BY t.r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(unhex(h), b)) AS kept_sha256
+FROM t LEFT JOIN kept USING (r)
+"""
