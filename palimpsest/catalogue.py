@@ -224,11 +224,17 @@ def q_verse_groups(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"), F.when(F.count(F.lit(1)) > 1, "group").otherwise("single").alias("kind"), numbers.alias("numbers"))
 
 
-@query(f"SELECT doc_id, line_no, sum(n) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT doc_id, line_no, CAST(len(regexp_extract_all(lower(line), '(?:ai|au|[aāiīuūṛṝḷḹeo])')) AS BIGINT) AS n FROM ({LINES}))")
+HALVES = f"SELECT *, coalesce(sum(CASE WHEN closes THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS half FROM (SELECT doc_id, line_no, line LIKE '%.' AS closes, CAST(len(regexp_extract_all(lower(line), '(?:ai|au|[aāiīuūṛṝḷḹeo])')) AS BIGINT) AS n FROM ({LINES}))"
+
+
+@query(f"SELECT doc_id, line_no, coalesce(sum(n) OVER (PARTITION BY doc_id, half ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM ({HALVES})")
 def q_syllable_offsets(spark, sf_dir):
-    w = ordered.in_order().rowsBetween(Window.unboundedPreceding, -1)
+    """Syllables before a line in its half-verse; a line that closes one starts the count again."""
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     counted = ordered.lines(documents(spark, sf_dir)).withColumn("n", text.syllables(F.col("line")).cast("long"))
-    return counted.select("doc_id", "line_no", F.sum("n").over(w).alias("before"))
+    halved = counted.withColumn("half", F.coalesce(F.sum(F.col("line").endswith(".").cast("int")).over(before(ordered.in_order())), F.lit(0)))
+    place = before(Window.partitionBy("doc_id", "half").orderBy("line_no"))
+    return halved.select("doc_id", "line_no", F.coalesce(F.sum("n").over(place), F.lit(0).cast("long")).alias("before"))
 
 
 # ---- corrections and readings
@@ -390,10 +396,10 @@ def q_key_intersection(spark, sf_dir):
     return docs.where("source = 'src0'").select("lang").intersect(docs.where("source <> 'src0'").select("lang"))
 
 
-@query("(SELECT source FROM documents EXCEPT SELECT source FROM documents WHERE lang = 'es')")
+@query("(SELECT n_regionkey FROM nation EXCEPT SELECT n_regionkey FROM nation WHERE n_regionkey < 3)")
 def q_key_difference(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("source").subtract(docs.where("lang = 'es'").select("source"))
+    rows = table(spark, sf_dir, "nation").select("n_regionkey")
+    return rows.subtract(rows.where("n_regionkey < 3"))
 
 
 @query("SELECT file, bool_or(failed) AS failed, count(*) FILTER (failed) AS failures, count(*) AS files FROM (SELECT source AS file, n_chars % 7 = 0 AS failed FROM documents) GROUP BY file")
@@ -454,11 +460,12 @@ def q_header_fill(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", fill(template, {"TITLE": F.col("n_name"), "REGION": F.col("n_regionkey")}).alias("header"))
 
 
-@query()
+@query("SELECT doc_id, unnest([1, 2]) AS ord, unnest(['Title', 'Languages']) AS field, unnest(['<p>' || source || '</p>', '<ul><li>' || lang || '</li><li>' || lang || '2</li></ul>']) AS html FROM documents")
 def q_metadata_html(spark, sf_dir):
     from .functions.markdown import sections_html
 
-    return sections_html(metadata.sections(ordered.lines(documents(spark, sf_dir, HEADED))), ["Title", "Languages"])
+    found = sections_html(metadata.sections(ordered.lines(documents(spark, sf_dir, HEADED))), ["Title", "Languages"])
+    return found.withColumn("ord", F.col("ord").cast("int"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

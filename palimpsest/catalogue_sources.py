@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from . import sinks
 from .catalogue import GRAMS, HEADED, documents
-from .functions import markdown
+from .functions import grammar, markdown
 from .functions import text as texts_of
 from .operators import header, metadata, ngrams
 from .operators import lines as ordered
@@ -188,6 +188,26 @@ def q_markdown(spark, sf_dir):
     return rows.mapInPandas(run, "n_nationkey int, html string")
 
 
+SHOWN = "'# Title' || chr(10) || n_name || chr(10) || '# Empty' || chr(10) || chr(10) || '# Edition PDFs' || chr(10) || '- ' || CASE WHEN n_nationkey % 2 = 0 THEN 'No scan, but [it](http://x/' || n_nationkey || ')' ELSE '[it](http://x/' || n_nationkey || ')' END || chr(10) || '# PDF Page Offset' || chr(10) || '- 3 → ' || n_nationkey || chr(10) || '- x, y'"
+
+
+@query("""SELECT cast(n_nationkey AS varchar) AS doc_id,
+ '[{"type": "field", "label": "Title", "inline_text": "' || n_name || '", "content_html": ""}, {"type": "field", "label": "Edition PDFs", "inline_text": null, "content_html": "<ul><li>' || CASE WHEN n_nationkey % 2 = 0 THEN 'No scan, but ' ELSE '' END || '<a href=\\"http://x/' || n_nationkey || '\\">it</a></li></ul>"}]' AS entries,
+ CASE WHEN n_nationkey % 2 = 1 THEN '{"url": "http://x/' || n_nationkey || '", "offsets": [[3, ' || n_nationkey || ']]}' END AS mapping FROM nation""")
+def q_metadata_entries(spark, sf_dir):
+    return markdown.entries(metadata.sections(ordered.lines(nations(spark, sf_dir, text=SHOWN))))
+
+
+PRETTY = "'<body><p>a' || chr(10) || '   b</p><l>' || n_name || '</l><pb/>c</body>'"
+
+
+@query("""SELECT cast(n_nationkey AS varchar) AS doc_id, '<?xml version=''1.0'' encoding=''UTF-8''?>' || chr(10) || '<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body><p>' || chr(10) || 'a' || chr(10) || '  b</p>' || chr(10) || '<l>' || chr(10) || n_name || '</l>' || chr(10) || '<pb/>' || chr(10) || 'c</body></text></TEI>' || chr(10) AS xml FROM nation""")
+def q_written_xml(spark, sf_dir):
+    """A whole document with line ends behind the tags of lines, paragraphs and breaks."""
+    rows = nations(spark, sf_dir, body=PRETTY)
+    return rows.select("doc_id", sinks.tei(F.lit(None).cast("string"), F.col("body"), True).alias("xml"))
+
+
 @query("SELECT n_nationkey, CAST(n_nationkey || '.5' AS DOUBLE) AS kilobytes FROM nation")
 def q_file_sizes(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", header.file_size(F.expr("n_nationkey || '.5'")).alias("kilobytes"))
@@ -216,3 +236,27 @@ def q_text_with_metadata(spark, sf_dir):
 @query("SELECT DISTINCT role, count(*) OVER (PARTITION BY role) AS turns FROM conversations ORDER BY role")
 def q_sorted_keys(spark, sf_dir):
     return table(spark, sf_dir, "conversations").groupBy("role").agg(F.count(F.lit(1)).alias("turns")).orderBy("role")
+
+
+@query("SELECT cast(n_nationkey AS varchar) AS doc_id, '9' AS version, n_name AS title FROM nation")
+def q_consolidated(spark, sf_dir):
+    """All records as one JSON object, read again."""
+    found = metadata.records(metadata.sections(ordered.lines(nations(spark, sf_dir, text="'# Title' || chr(10) || n_name"))))
+    parsed = F.from_json("json", "struct<records: map<string,string>, version: string>")
+    each = header.consolidated(found, "9").select(parsed.alias("j")).select("j.version", F.explode("j.records").alias("doc_id", "record"))
+    return each.select("doc_id", "version", F.get_json_object("record", "$.Title.value").alias("title"))
+
+
+@query("SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN n_nationkey || '.1' WHEN 1 THEN cast(n_nationkey AS varchar) ELSE '' END AS base, CASE n_nationkey % 3 WHEN 0 THEN 'ab' ELSE '' END AS part FROM nation")
+def q_verse_labels(spark, sf_dir):
+    """Verse numbers and the parts of a verse."""
+    label = F.expr("CASE n_nationkey % 3 WHEN 0 THEN ' ' || n_nationkey || '.1 ab' WHEN 1 THEN n_nationkey || '' ELSE 'x' || n_nationkey END")
+    part = lambda k: F.regexp_extract(label, grammar.VERSE_NUMBER, k)
+    return table(spark, sf_dir, "nation").select("n_nationkey", part(1).alias("base"), part(2).alias("part"))
+
+
+@query("SELECT n_nationkey, n_nationkey % 5 <> 2 AS closes, n_nationkey % 5 IN (1, 3, 4) AS ends FROM nation")
+def q_verse_ends(spark, sf_dir):
+    """Lines that close a verse line, and those that end a verse."""
+    line = F.expr("CASE n_nationkey % 5 WHEN 0 THEN 'a |' WHEN 1 THEN 'a || 1 ||' WHEN 2 THEN 'a b' WHEN 3 THEN 'a || thus' ELSE 'a॥' END")
+    return table(spark, sf_dir, "nation").select("n_nationkey", line.rlike(grammar.CLOSE_LINE).alias("closes"), line.rlike(grammar.VERSE_END).alias("ends"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
-from html import escape
+from html import escape, unescape
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _inline_rules = [
     (re.compile(r"`([^`]+)`"), r"<code>\1</code>"),
@@ -85,3 +87,39 @@ def sections_html(sections: DataFrame, allowed: list[str] | None = None) -> Data
 
     ident = sections.schema["doc_id"].dataType.simpleString()
     return kept.select("doc_id", "ord", "field", "kind", "value", "items").mapInPandas(run, f"doc_id {ident}, ord bigint, field string, html string")
+
+
+def entries(sections: DataFrame) -> DataFrame:
+    """(doc_id, entries, mapping) of metadata sections, as JSON: what a reader shows, and how book pages map to scanned ones.
+
+    A section of one paragraph without markup is inline text, others are HTML; empty ones don't show, nor does the page
+    offset. The mapping has the link of the first edition PDF, unless that says that there is none, and pairs of pages.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for doc, given in zip(b["doc_id"], b["given"], strict=True):
+                shown, link, offsets = [], None, None
+                for field, kind, value, items in ((r["field"], r["kind"], r["value"], r["items"]) for r in given):
+                    listed = list(items) if kind == "list" else []
+                    html = render("\n".join(f"- {x}" for x in listed) if listed else (value or ""))
+                    plain = re.fullmatch(r"<p>([^<]*)</p>", html)
+                    if field == "Edition PDFs" and not plain:
+                        first = re.search(r"<li>(.*?)</li>", html)
+                        found = re.search(r'<a href="([^"]*)"', html)
+                        if found and not (first and re.sub("<[^>]+>", "", first[1]).strip().startswith("No ")):
+                            link = unescape(found[1])
+                    if field == "PDF Page Offset":
+                        if not plain:
+                            pairs = [[p.strip() for p in x.split("→" if "→" in x else ",")] for x in listed]
+                            offsets = [[int(p) for p in pair] for pair in pairs if len(pair) == 2 and all(re.fullmatch(r"[+-]?\d+", p) for p in pair)]
+                    elif html:
+                        shown.append({"type": "field", "label": field or None, "inline_text": unescape(plain[1]).strip() if plain else None, "content_html": "" if plain else html})
+                mapping = {"url": link, "offsets": offsets or [[1, 1]]} if link else None
+                rows.append((doc, json.dumps(shown, ensure_ascii=False), json.dumps(mapping, ensure_ascii=False) if mapping else None))
+            yield pd.DataFrame(rows, columns=["doc_id", "entries", "mapping"])
+
+    ordered = F.array_sort(F.collect_list(F.struct("ord", "field", "kind", "value", "items")))
+    ident = sections.schema["doc_id"].dataType.simpleString()
+    return sections.groupBy("doc_id").agg(ordered.alias("given")).mapInPandas(run, f"doc_id {ident}, entries string, mapping string")

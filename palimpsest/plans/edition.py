@@ -7,6 +7,7 @@ one document's rows.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from collections.abc import Iterable, Iterator
@@ -661,7 +662,7 @@ def _texts(lines: DataFrame, config: DataFrame | None, glosses: DataFrame | None
 
 
 #: Settings of a document, and what holds for those without a row of configuration.
-SETTINGS = {"line_by_line": False, "drama": False, "line_numbers": True, "page_label": "p", "line_label": "l", "after_location": False, "split_glosses": False}
+SETTINGS = {"line_by_line": False, "drama": False, "line_numbers": True, "page_label": "p", "line_label": "l", "after_location": False, "split_glosses": False, "entries": "", "mapping": ""}
 
 
 def _folded(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
@@ -675,7 +676,8 @@ def _folded(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
 def build(lines: DataFrame, config: DataFrame | None = None, glosses: DataFrame | None = None) -> DataFrame:
     """Node rows of ordered lines (doc_id, line_no, line).
 
-    config has doc_id and some of SETTINGS; documents without a row have the defaults. glosses has doc_id, idx and entry.
+    config has doc_id and some of SETTINGS (entries and mapping as `markdown.entries` makes them); documents without a row
+    have the defaults. glosses has doc_id, idx and entry.
     One document's lines meet in one task, which a fold over them needs; the number of documents is what is spread.
     """
 
@@ -696,7 +698,8 @@ def _renderings(doc_id: str, tree: Node, r) -> list:
     xml, reading = to_xml(tree), to_reading(tree)
     marked, glosses = reverse.markup(tree, bool(r.line_by_line), bool(r.split_glosses), bool(r.after_location))
     page = rendering.plain_page(doc_id, tree, **view)
-    html, facts = rendering.rich_page(doc_id, tree, bool(r.drama), **view)  # the last one: it changes the tree
+    entries, mapping = (json.loads(x) if x else None for x in (r.entries, r.mapping))
+    html, facts = rendering.rich_page(doc_id, tree, bool(r.drama), entries, mapping, **view)  # the last one: it changes the tree
     return [doc_id, xml, reading, marked, glosses, html, facts, page]
 
 

@@ -52,6 +52,9 @@ def to_txt(spark: SparkSession, root: str, config: DataFrame | None = None) -> N
 
 def to_html(spark: SparkSession, root: str, config: DataFrame | None = None, standalone: bool = False) -> None:
     """Both projections of every document, and the facts beside them; what has no source any more goes."""
+    if texts.exists(spark, f"{root}/metadata"):
+        shown = markdown.entries(metadata.sections(texts.read_lines(spark, f"{root}/metadata", "*.md")))
+        config = shown if config is None else config.join(shown, "doc_id", "full")
     made = edition.rendered_nodes(_nodes(spark, root), config).checkpoint()
     if standalone:
         frame = F.lit(edition.standalone_frame())

@@ -28,5 +28,12 @@ def count_stream(texts: DataFrame, folder: str, checkpoint: str, n: int = 2, tex
         spark = batch.sparkSession
         before = current(spark, folder, number) if number else spark.createDataFrame([], "gram string, cnt bigint")
         upsert(before, counts(batch, n, text_col)).write.mode("overwrite").parquet(f"{folder}/version={number}")
+        # the version before stays, for a batch that is run again; what is older goes
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for old in system.listStatus(path):
+            name = old.getPath().getName()
+            if name.startswith("version=") and int(name[len("version=") :]) < number - 1:
+                system.delete(old.getPath(), True)
 
     return texts.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
