@@ -5,22 +5,19 @@ Fixed values: the patterns say what the markup is.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DOUBLE_DANDA = r"(?:\|\||॥)"
-ANY_DANDA = r"(?:\|\|?|[।॥])"
-NOT_DANDA = r"[^|।॥]"
+#: What closes a verse line, and what closes a verse or stands around its number.
+SINGLE, DOUBLE = ("|", "।"), ("||", "॥")
 SECTION = r"^\{([^}]+)\}\s*$"
 LOCATION = r"^\[([^\]]+?)\]\t*(.*)$"
 VERSE_NUMBER = r"(?i)^\s*([0-9]+(?:[.,][0-9]+)*)\s*([a-z]{1,4})?\s*$"
 PAGE = r"^<(\d+)>$"
 PAGE_LINE = r"^<(\d+),(\d+)>$"
 NOTE = r"^<[^\n>]+>$"
-VERSE_MARKER = DOUBLE_DANDA + " (" + NOT_DANDA + "{1,20}) " + DOUBLE_DANDA + "(?: |$)"
-BACK_BOUNDARY = DOUBLE_DANDA + "(?!" + NOT_DANDA + "{1,20} " + DOUBLE_DANDA + ")"
-VERSE_END = VERSE_MARKER + "|" + BACK_BOUNDARY
-CLOSE_LINE = ANY_DANDA + r"(?:[ \n]|$)"
 HYPHEN_END = r"-\s*$"
 CHOICE = "≤([^≥]*)≥«([^»]*)»"
 DELETED = "≤([^≥]*)≥"
@@ -35,6 +32,21 @@ HEAD = r"^(.*[|—,])\s*_$"
 BACK = r"^_(.*)$"
 
 
+def one_of(*marks: str) -> str:
+    return "(?:" + "|".join(map(re.escape, marks)) + ")"
+
+
+def verse_end(longest: int = 20) -> str:
+    """A double mark, with the verse's number and another one behind it or without."""
+    mark = one_of(*DOUBLE)
+    number = f"[^{''.join(sorted({*SINGLE, DOUBLE[1]}))}]{{1,{longest}}}"
+    return f"{mark} ({number}) {mark}(?: |$)|{mark}(?!{number} {mark})"
+
+
+VERSE_END = verse_end()
+CLOSE_LINE = one_of(*DOUBLE, *SINGLE) + r"(?:[ \n]|$)"
+
+
 def line_class(line: Column, block_start: Column | None = None) -> Column:
     """The first rule that a line meets. Speaker cues count only where block_start holds; without it, nowhere."""
     start = F.lit(False) if block_start is None else block_start
