@@ -8,7 +8,8 @@ they are streamed over the text from the samples. Windows whose statistics reach
 
 Where very many texts share a passage, its pieces are equal but for those at its edges. Equal pieces of a group too large
 for an index become one first, with their number, and what is left of the group is indexed. Edges, each with another
-neighbourhood, may leave a group that is still too large; hashes of its windows are then counted over all tasks.
+neighbourhood, may leave a group that is still too large; hashes of its windows are then counted over all tasks. Such
+pieces are cut out where the texts lie, in a second reading.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bytes_of, cut, eights, join_groups, plain_strings, slices, table, window_hash
+from .common import MARK_BITS, bytes_of, cut, eights, join_groups, marked, marks, mix, plain_strings, slices, table, window_hash
 
 LENGTH, GRAM = 400, 32
 #: Windows in a piece, at most; bytes of the pieces in one index, and of a group that shares an index.
@@ -198,23 +199,51 @@ def _texts_by_uid(docs) -> dict[int, np.ndarray]:
     return {u: raw[a:b] for u, a, b in zip(docs.column("uid").to_pylist(), places[:-1].tolist(), places[1:].tolist(), strict=True)}
 
 
-def _extract(length: int, once: bool):
-    """The bytes of a block's pieces; if `once`, only at the first of equal ones."""
+def _extract(length: int):
+    """The bytes of a block's pieces."""
 
     def run(key, docs, wanted):
         texts = _texts_by_uid(docs) if wanted.num_rows else {}
         lows, highs = wanted.column("low").to_pylist(), wanted.column("high").to_pylist()
         data = [texts[u][a : b + length].tobytes() for u, a, b in zip(wanted.column("uid").to_pylist(), lows, highs, strict=True)]
-        columns = {c: wanted.column(c) for c in ("block", "uid", "key", "low")}
-        if not once:
-            return pa.table({**columns, "task": wanted.column("task"), "piece": pa.array(data, pa.binary())})
-        digests = [hashlib.blake2b(d, digest_size=16).digest() for d in data]
-        seen: set = set()
-        for i, name in enumerate(zip(wanted.column("key").to_pylist(), digests, strict=True)):
-            if name in seen:
-                data[i] = None
-            seen.add(name)
-        return pa.table({**columns, "digest": pa.array(digests, pa.binary()), "piece": pa.array(data, pa.binary())})
+        return pa.table({**{c: wanted.column(c) for c in ("block", "uid", "key", "low", "task")}, "piece": pa.array(data, pa.binary())})
+
+    return run
+
+
+HOT = pa.schema([("uid", pa.int64()), ("key", pa.int64()), ("name", pa.int64()), ("low", pa.int64()), ("n", pa.int64()), ("size", pa.int64()), ("piece", pa.binary())])
+
+
+def _mixed_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = np.asarray(batch.column("key"), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(mix(keys.view(np.uint64)).view(np.int64))], ["mark"])
+
+
+def _cut_out(length: int, gram: int, bits):
+    """Pieces whose key may be a marked one. Of equal ones of a slice, the first has the bytes and the number of all."""
+
+    def run(batches):
+        table = bits.value
+        for batch in batches:
+            uid = np.asarray(batch.column("uid"), np.int64)
+            raw, places = bytes_of(plain_strings(batch.column("text")))
+            for a, b in slices(places):
+                part, begins = raw[places[a] : places[b]], places[a : b + 1] - places[a]
+                key, owner, low, high, _ = pieces_of(part, begins, length, gram)
+                h = mix(key)
+                hit = np.flatnonzero((table[h >> np.uint64(64 - MARK_BITS)] >> (h & np.uint64(63)) & np.uint64(1)) != 0)
+                seen: dict[tuple[int, int], int] = {}
+                rows: list[list] = []
+                for i in hit.tolist():
+                    start = int(begins[owner[i]] + low[i])
+                    piece = part[start : start + int(high[i] - low[i]) + length].tobytes()
+                    name = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "little", signed=True)
+                    first = seen.setdefault((int(key[i]), name), len(rows))
+                    rows.append([int(uid[a + owner[i]]), int(key[i : i + 1].view(np.int64)[0]), name, int(low[i]), 0, len(piece), piece if first == len(rows) else None])
+                    rows[first][4] += 1
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), HOT.types, strict=True)], schema=HOT)
 
     return run
 
@@ -255,12 +284,12 @@ def _index(length: int):
     return run
 
 
-PIECE = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("from", pa.list_(pa.int64())), ("to", pa.list_(pa.int64()))])
+PIECE = pa.schema([("key", pa.int64()), ("name", pa.int64()), ("n", pa.int64()), ("from", pa.list_(pa.int64())), ("to", pa.list_(pa.int64()))])
 
 
-def _piece_row(key: int, digest: bytes, n: int, marks: np.ndarray, length: int) -> tuple:
+def _piece_row(key: int, name: int, n: int, marks: np.ndarray, length: int) -> tuple:
     found = list(ranges(marks, 0, length))
-    return key, digest, n, [a for a, _ in found], [b for _, b in found]
+    return key, name, n, [a for a, _ in found], [b for _, b in found]
 
 
 def _index_distinct(length: int):
@@ -268,27 +297,27 @@ def _index_distinct(length: int):
 
     def run(task, group):
         group = group.sort_by("key")
-        data, keys, digests, times = (group.column(c).to_pylist() for c in ("piece", "key", "digest", "n"))
+        data, keys, names, times = (group.column(c).to_pylist() for c in ("piece", "key", "name", "n"))
         rows = []
         for at, to in _batches(keys, data):
             marks = repeated_windows(data[at:to], length, times[at:to])
-            rows += [_piece_row(keys[i], digests[i], times[i], m, length) for i, m in zip(range(at, to), marks, strict=True)]
+            rows += [_piece_row(keys[i], names[i], times[i], m, length) for i, m in zip(range(at, to), marks, strict=True)]
         return pa.table([list(c) for c in zip(*rows, strict=True)], schema=PIECE) if rows else PIECE.empty_table()
 
     return run
 
 
 def _windows(length: int):
-    """Two hashes of each window of distinct pieces."""
-    schema = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("at", pa.int32()), ("x", pa.int64()), ("y", pa.int64())])
+    """Hashes of each window of some pieces."""
+    schema = pa.schema([("key", pa.int64()), ("name", pa.int64()), ("n", pa.int64()), ("at", pa.int32()), ("x", pa.int64()), ("y", pa.int32())])
 
     def run(batches):
         for batch in batches:
-            for key, digest, n, piece in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "n", "piece")), strict=True):
+            for key, name, n, piece in zip(*(batch.column(c).to_pylist() for c in ("key", "name", "n", "piece")), strict=True):
                 raw = np.frombuffer(piece, np.uint8)
-                x, y = (window_hash(raw, length, seed).view(np.int64) for seed in (1, 2))
+                x, y = window_hash(raw, length, 1).view(np.int64), window_hash(raw, length, 2).astype(np.uint32).view(np.int32)
                 m = len(x)
-                yield pa.RecordBatch.from_arrays([pa.array([key] * m, pa.int64()), pa.array([digest] * m, pa.binary()), pa.array([n] * m, pa.int64()), pa.array(np.arange(m, dtype=np.int32)), pa.array(x), pa.array(y)], schema=schema)
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.full(m, v, np.int64)) for v in (key, name, n)), pa.array(np.arange(m, dtype=np.int32)), pa.array(x), pa.array(y)], schema=schema)
 
     return run
 
@@ -297,35 +326,46 @@ def _ranges_of_windows(length: int):
     def run(batches):
         for batch in batches:
             rows = []
-            for key, digest, n, at in zip(*(batch.column(c).to_pylist() for c in ("key", "digest", "n", "at")), strict=True):
+            for key, name, at in zip(*(batch.column(c).to_pylist() for c in ("key", "name", "at")), strict=True):
                 marks = np.zeros(max(at) + 1, bool)
                 marks[at] = True
-                rows.append(_piece_row(key, digest, n, marks, length))
+                rows.append(_piece_row(key, name, 0, marks, length))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), PIECE.types, strict=True)], schema=PIECE)
 
     return run
 
 
-def _hot_spans(pieces: DataFrame, length: int) -> DataFrame:
-    """Repeated ranges in groups of many pieces: equal ones first become one, with their number."""
-    pieces = cut(pieces)
-    distinct = cut(pieces.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), F.first("piece", ignorenulls=True).alias("piece")))
-    size = F.octet_length("piece") + 1
-    groups = distinct.groupBy("key").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("pieces"))
-    sized = join_groups(distinct, cut(groups), "key", "pieces", F.col("digest"))
-    total = groups.where(F.col("bytes") <= GROUP_BYTES).agg(F.sum("bytes")).first()[0] or 0
-    schema = "key bigint, digest binary, n bigint, `from` array<bigint>, `to` array<bigint>"
-    task = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-total // TASK_BYTES))))
-    indexed = sized.where(F.col("bytes") <= GROUP_BYTES).select("key", "digest", "n", "piece", task.alias("task")).groupBy("task").applyInArrow(_index_distinct(length), schema)
-    hashed = sized.where(F.col("bytes") > GROUP_BYTES).select("key", "digest", "n", "piece").mapInArrow(_windows(length), "key bigint, digest binary, n bigint, at int, x bigint, y bigint")
-    twice = hashed.groupBy("x", "y").agg(F.sum("n").alias("n")).where("n > 1").select("x", "y")
-    counted = hashed.join(twice, ["x", "y"], "left_semi").groupBy("key", "digest", "n").agg(F.collect_list("at").alias("at")).mapInArrow(_ranges_of_windows(length), schema)
-    name = F.struct("key", "digest").alias("name")
-    found = cut(indexed.unionByName(counted).where(F.size("from") > 0).select(name, "n", F.arrays_zip("from", "to").alias("spans")))
-    placed = join_groups(pieces.select("block", "uid", "low", name), found, "name", "n", F.struct("uid", "low")).where("spans IS NOT NULL")
-    each = placed.select("block", "uid", "low", F.explode("spans").alias("span"))
-    return each.select("block", "uid", (F.col("low") + F.col("span.from")).alias("a"), (F.col("low") + F.col("span.to")).alias("b"))
+def _hot_spans(known: DataFrame, hot: DataFrame, blocks: int, length: int, gram: int) -> DataFrame:
+    """Repeated ranges in groups (key) of many pieces: equal ones first become one, with their number.
+
+    A piece's name is a 64-bit hash of it beside its key's 64 bits. A few groups more may be marked; they are right too.
+    """
+    spark = known.sparkSession
+    table = np.zeros(1 << MARK_BITS, np.uint64)
+    for slot, bits in marks(hot.mapInArrow(_mixed_keys, "mark bigint"), "mark").collect():  # MARK_BITS bounds it
+        table[slot] = np.int64(bits).view(np.uint64)
+    shared = spark.sparkContext.broadcast(table)
+    pieces = cut(known.select("uid", "text").mapInArrow(_cut_out(length, gram, shared), "uid bigint, key bigint, name bigint, low bigint, n bigint, size bigint, piece binary"))
+    counted = cut(pieces.groupBy("key", "name").agg(F.sum("n").alias("n"), F.max("size").alias("size")))
+    large = counted.groupBy("key").agg(F.sum(F.col("size") + 1).alias("bytes"))
+    wide = marks(large.where(F.col("bytes") > GROUP_BYTES).select(F.xxhash64("key").alias("mark")), "mark")
+    sized = marked(pieces.where("piece IS NOT NULL").select("key", "name", "n", "piece"), F.xxhash64("key"), wide, "wide")
+    total = large.where(F.col("bytes") <= GROUP_BYTES).agg(F.sum("bytes")).first()[0] or 0
+    task = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-total // TASK_BYTES)))).alias("task")
+    distinct = sized.where("NOT wide").groupBy("key", "name").agg(F.sum("n").alias("n"), F.first("piece").alias("piece"))
+    schema = "key bigint, name bigint, n bigint, `from` array<bigint>, `to` array<bigint>"
+    indexed = distinct.select("key", "name", "n", "piece", task).groupBy("task").applyInArrow(_index_distinct(length), schema)
+    hashed = sized.where("wide").select("key", "name", "n", "piece").mapInArrow(_windows(length), "key bigint, name bigint, n bigint, at int, x bigint, y int")
+    twice = hashed.groupBy("key", "x", "y").agg(F.sum("n").alias("n")).where("n > 1").select("key", "x", "y")
+    met = hashed.select("key", "name", "at", "x", "y").join(twice, ["key", "x", "y"], "left_semi")
+    windows = met.groupBy("key", "name").agg(F.collect_set("at").alias("at")).mapInArrow(_ranges_of_windows(length), schema)
+    found = indexed.unionByName(windows).where(F.size("from") > 0).select("key", "name", F.arrays_zip("from", "to").alias("spans"))
+    both = F.struct("key", "name").alias("piece")
+    answered = cut(found.join(counted.select("key", "name", "n"), ["key", "name"]).select(both, "n", "spans"))
+    placed = join_groups(pieces.select("uid", "low", both), answered, "piece", "n", F.struct("uid", "low")).where("spans IS NOT NULL")
+    each = placed.select("uid", "low", F.explode("spans").alias("span"))
+    return each.select(F.pmod("uid", F.lit(blocks)).alias("block"), "uid", (F.col("low") + F.col("span.from")).alias("a"), (F.col("low") + F.col("span.to")).alias("b"))
 
 
 def _remove(length: int):
@@ -384,12 +424,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = known.withColumn("block", F.pmod("uid", F.lit(blocks))).repartition(blocks, "block")
     by_block = placed.groupBy("block")
     few = wanted.where(F.col("bytes") <= GROUP_BYTES).withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks)))
-    pieces = by_block.cogroup(few.groupBy("block")).applyInArrow(_extract(length, False), "block bigint, uid bigint, key bigint, low bigint, task bigint, piece binary")
+    pieces = by_block.cogroup(few.groupBy("block")).applyInArrow(_extract(length), "block bigint, uid bigint, key bigint, low bigint, task bigint, piece binary")
     spans = pieces.groupBy("task").applyInArrow(_index(length), "block bigint, uid bigint, a bigint, b bigint")
     if large:
-        many = wanted.where(F.col("bytes") > GROUP_BYTES)
-        hot = by_block.cogroup(many.groupBy("block")).applyInArrow(_extract(length, True), "block bigint, uid bigint, key bigint, low bigint, digest binary, piece binary")
-        spans = spans.unionByName(_hot_spans(hot, length))
+        hot = wanted.where(F.col("bytes") > GROUP_BYTES).select("key").distinct()
+        spans = spans.unionByName(_hot_spans(known, hot, blocks, length, gram))
     return by_block.cogroup(spans.groupBy("block")).applyInArrow(_remove(length), "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<array<bigint>>")
 
 
