@@ -83,3 +83,11 @@ def test_hyphens_to_the_fix_point(spark):
 def test_brackets_nested_deeper_than_64(spark):
     assert one(spark, "a" + "(" * 150 + "x" + ")" * 150 + "b", text.remove_removables) == "ab"
     assert one(spark, "a" + "{" * 150 + "x" + "}" * 150 + "b", text.plain_content) == "ab"
+
+
+def test_ngrams_of_code_points(spark):
+    value = "a\n🙂éb"
+    df = spark.createDataFrame([(value,), ("",), ("x",)], "t string")
+    for n in (1, 2, 3):
+        got = [r[0] for r in df.select(text.ngrams(F.col("t"), n)).collect()]
+        assert got == [[t[i : i + n] for i in range(len(t) - n + 1)] for t in (value, "", "x")]
