@@ -57,9 +57,9 @@ MARK_BITS = 18
 
 
 def marks(keys: DataFrame, key: str) -> DataFrame:
-    """A set of 64-bit keys as a bit table of bounded size, to be sent to every task. Others may seem to be in it."""
+    """A set of 64-bit keys as a bit table of bounded size, written once and sent to every task. Others may seem to be in it."""
     slot, bit = _slot(F.col(key)), _bit(F.col(key))
-    return F.broadcast(keys.groupBy(slot.alias("mark_slot")).agg(F.bit_or(bit).alias("mark_bits")))
+    return F.broadcast(cut(keys.groupBy(slot.alias("mark_slot")).agg(F.bit_or(bit).alias("mark_bits"))))
 
 
 def _slot(key: Column) -> Column:

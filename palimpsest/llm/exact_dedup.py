@@ -47,10 +47,12 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int = PRE
     one = F.col("size").isNull()
     several = several.withColumn("keep", F.when(one, F.col(row)).otherwise(F.col("top.id"))).withColumn("size", F.coalesce("size", F.lit(1).cast("long")))
     several = several.withColumn("kept", one | F.col(row).eqNullSafe(F.col("keep")))
+    columns, out = plain.columns, [*plain.columns, "keep", "size", "kept"]
+    if groups.where("top.n > 1").isEmpty():
+        return alone.select(*out).unionByName(several.select(*out)), columns
     # rows that share the id that stays and the text: one of them stays
     repeated = several.where(F.col("kept") & (F.col("top.n") > 1))
     several = several.where(~(F.col("kept") & (F.coalesce("top.n", F.lit(1)) > 1)))
-    columns, out = plain.columns, [*plain.columns, "keep", "size", "kept"]
     if all(isinstance(f.dataType, AtomicType) for f in plain.schema):  # rows that agree in everything move as one and a count
         variants = repeated.groupBy(*columns, "sha", "keep", "size").agg(F.count(F.lit(1)).alias("n"))
         first = F.row_number().over(Window.partitionBy("sha").orderBy(*columns)) == 1

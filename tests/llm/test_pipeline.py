@@ -53,3 +53,8 @@ def test_oracles_are_sql():
     import __spark_entry__ as entry
 
     assert all(isinstance(sql, str) for sql in entry.oracle_sql().values())
+
+
+def test_nothing_in_nothing_out(spark, tmp_path):
+    spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
