@@ -20,10 +20,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import small_batches, table
 
 #: Encoded pre-tokens kept by a worker, and the longest one kept; what is not kept is encoded anew.
-CACHE_ENTRIES, CACHE_CHARS = 1 << 18, 48
+CACHE_ENTRIES, CACHE_CHARS = 1 << 17, 48
 #: Pairs remembered by a worker.
 PAIRS = 1 << 19
 #: Texts encoded together, and their characters; a longer text is encoded alone.
@@ -239,6 +239,7 @@ def _with(df: DataFrame, source: str, added: dict[str, str], rows) -> DataFrame:
                 new = [pa.array(v, f.type) for v, f in zip(rows(part.column(kept.index(source)).to_pylist()), arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, *added])
 
+    small_batches(df.sparkSession)
     return df.select(*kept).mapInArrow(run, schema)
 
 

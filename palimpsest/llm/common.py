@@ -41,9 +41,20 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+#: Rows in a batch that goes to Python, at most: rows may hold whole texts, and batches lie in memory on both sides.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the checkpoint folder that the cluster shares and read it from there."""
     shared_folder(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.checkpoint()
 
 

@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from .common import crc_mod, cut, marked, marks, numbered, table
+from .common import crc_mod, cut, marked, marks, numbered, small_batches, table
 
 #: Labelled texts of each language that the model is fitted on, at most (in whole words of any length); all rows are scored.
 FIT_TEXTS = 256
 ROUNDS, SMOOTHING = 3, 0.05
 #: Words up to this length are summed together; longer ones one by one, in logarithms.
 SHORT = 32
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 17
 UNKNOWN = "und"
 
 _letters = regex.compile(r"\p{L}+").findall
@@ -260,6 +260,7 @@ def _predicted(docs: DataFrame, model: Model, text_col: str) -> tuple[DataFrame,
                     scores.append(float(1 / np.exp(log - log[best]).sum()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names)
 
+    small_batches(docs.sparkSession)
     return plain.mapInArrow(run, schema), plain.columns
 
 

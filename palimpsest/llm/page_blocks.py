@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import bytes_of, table, words_of
+from .common import bytes_of, small_batches, table, words_of
 
 #: Places of hashed names and of hashed words in a block's vector, and of its shares.
 NAME_SIZE, WORD_SIZE, SHARES = 128, 16, 4
@@ -451,6 +451,7 @@ def extract_text(pages: DataFrame, html_col: str = "html", out: str = "main_text
                 texts = main_texts([h or "" for h in batch.column(at).to_pylist()], shared.value)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], arrow.names)
 
+    small_batches(pages.sparkSession)
     return pages.mapInArrow(run, schema)
 
 
