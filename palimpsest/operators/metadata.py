@@ -19,10 +19,12 @@ def sections(doc_lines: DataFrame) -> DataFrame:
     w = in_order()
     heading = F.regexp_extract("line", "^# (.+)$", 1)
     marked = doc_lines.withColumn("_head", F.when(F.col("line").rlike("^# .+"), strip(heading))).withColumn("ord", island(F.col("_head").isNotNull(), w)).where("ord > 0")
-    body = F.transform(F.array_sort(F.collect_list(F.when(F.col("_head").isNull(), F.struct("line_no", "line")))), lambda x: x["line"])
+    body = F.transform(F.sort_array(F.collect_list(F.when(F.col("_head").isNull(), F.struct("line_no", "line")))), lambda x: x["line"])
     found = marked.groupBy("doc_id", "ord").agg(F.max("_head").alias("field"), body.alias("_body"))
     text = F.regexp_replace(F.array_join("_body", "\n"), r"^\n+|\n+$", "")
-    parts = F.filter(F.split(text, "\n"), lambda _: text != "")
+    found = found.withColumn("_text", text)  # columns of their own, which are worked out once and not again for each line
+    found = found.withColumn("_parts", F.when(F.col("_text") != "", F.split("_text", "\n")).otherwise(F.array().cast("array<string>")))
+    parts = F.col("_parts")
     bullets = (F.size(parts) > 0) & F.forall(parts, lambda x: x.rlike(r"^[-*]\s+"))
     listed = F.when(bullets, F.transform(parts, lambda x: F.regexp_replace(x, r"^[-*]\s+", "")))
     return found.select("doc_id", "ord", "field", F.when(bullets, "list").otherwise("text").alias("kind"), F.when(~bullets, strip(F.array_join(parts, " "))).alias("value"), listed.alias("items"))
