@@ -6,9 +6,11 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..arrow import batched, taken
 from ..plans.edition import NODES, Node, rows_of
 
 
@@ -43,17 +45,15 @@ def parse(xml: str, under: str = "body") -> Node:
 def nodes(texts: DataFrame, under: str = "body") -> DataFrame:
     """(doc_id, xml) -> node rows. A text that isn't XML has none; `malformed` lists these."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for doc, xml in zip(b["doc_id"], b["xml"], strict=True):
-                try:
-                    rows += rows_of(str(doc), parse(xml or "", under))
-                except ET.ParseError:
-                    continue
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in NODES.split(", ")])
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for r in taken(batches):
+            try:
+                root = parse(r.xml or "", under)
+            except ET.ParseError:
+                continue
+            yield from rows_of(str(r.doc_id), root)
 
-    return texts.select("doc_id", "xml").mapInPandas(run, NODES)
+    return texts.select("doc_id", "xml").mapInArrow(lambda batches: batched(rows(batches), NODES), NODES)
 
 
 def malformed(texts: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
 """Steps whose work must follow the input: what is read, sent and worked out once."""
 
+import pytest
 
+from palimpsest import arrow, catalogue
 from palimpsest.operators import lines as ordered
 from palimpsest.operators import metadata
+from palimpsest.plans import edition
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,3 +24,27 @@ def test_sections_work_out_their_text_once(spark):
     found = metadata.sections(ordered.lines(spark.createDataFrame([("d", text)], "doc_id string, text string")))
     assert planned(found).count("array_join(") == 2  # the text, and the value of its lines
     assert [(r.field, r.kind, r.value, r["items"]) for r in found.orderBy("ord").collect()] == [("A", "text", "- x  - x  - x", None), ("B", "text", "one  - two", None), ("C", "text", "", None)]
+
+
+def test_many_documents_leave_in_one_batch():
+    made = list(arrow.batched(((str(i), i, {"k": "v"}, ["x"]) for i in range(10_001)), "a string, b int, c map<string,string>, d array<string>"))
+    assert [b.num_rows for b in made] == [10_000, 1] and made[1].to_pylist() == [{"a": "10000", "b": 10_000, "c": [("k", "v")], "d": ["x"]}]
+    assert [b.num_rows for b in arrow.batched([("x" * arrow.BATCH_CHARS,)] * 3, "a string")] == [1, 1, 1]
+    assert [r.a for r in arrow.taken(made)] == [str(i) for i in range(10_001)]
+
+
+@pytest.mark.parametrize("form", ["xml", "reading", "markup", "glosses", "html", "facts", "plain"])
+def test_one_form_alone(spark, form):
+    rows = [(str(d), i, x) for d in range(3) for i, x in enumerate(["{a}", "[1,1]", "p ≤a≥«b» q", f"\tv ˹s{d}˼ ||"])]
+    lines = spark.createDataFrame(rows, "doc_id string, line_no bigint, line string")
+    alone, whole = edition.rendered(lines, forms=[form]), edition.rendered(lines)
+    assert alone.columns == ["doc_id", form]
+    assert sorted(map(str, alone.collect())) == sorted(map(str, whole.select("doc_id", form).collect()))
+    again = edition.rendered_nodes(edition.build(lines), forms=[form])
+    assert sorted(map(str, again.collect())) == sorted(map(str, edition.rendered_nodes(edition.build(lines)).select("doc_id", form).collect()))
+
+
+@pytest.mark.parametrize("name", ["q_edition_xml", "q_edition_nodes"])
+def test_editions_are_dealt_out_before_they_are_lines(spark, name):
+    plan = executed(catalogue.QUERIES[name](spark, SF))
+    assert "BroadcastHashJoin" not in plan and plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 3
