@@ -53,3 +53,14 @@ def test_editions_are_dealt_out_before_they_are_lines(spark, name):
 def test_descendants_fold_once(spark):
     found = catalogue.QUERIES["q_node_descendants"](spark, SF)
     assert planned(found).count("MapIn") == 1 and "BroadcastHashJoin" not in executed(found)
+
+
+def test_corrections_read_nodes_once(spark):
+    node = lambda seq, end, parent, tag, text="", n=None: ("d", seq, parent, end, 0, tag, {"n": n} if n else {}, text, "")
+    rows = [node(0, 15, None, "body"), node(1, 10, 0, "lg", n="1"), node(2, 4, 1, "lg", n="2"), node(3, 3, 2, "del", "a"), node(4, 4, 2, "supplied", "b"), node(5, 7, 1, "choice"), node(6, 6, 5, "sic", "c"), node(7, 7, 5, "corr", "e")]
+    rows += [node(8, 8, 1, "choice"), node(9, 10, 1, "p"), node(10, 10, 9, "del", "f"), node(11, 11, 0, "del", "g"), node(12, 15, 0, "choice"), node(13, 13, 12, "sic", "h"), node(14, 14, 12, "corr", "i"), node(15, 15, 12, "corr", "j")]
+    nodes = spark.createDataFrame(rows, edition.NODES).repartition(3)
+    found = edition.corrections(nodes)
+    assert planned(found).count("Repartition") == 1
+    due = {(3, "a", "", "2"), (4, "", "b", "2"), (5, "c", "e", "1"), (8, None, None, "1"), (10, "f", "", "1"), (11, "g", "", None), (12, "h", "i", None), (12, "h", "j", None)}
+    assert sorted(map(str, due)) == sorted(str((r.seq, r.sic, r.corr, r.n)) for r in found.collect())
